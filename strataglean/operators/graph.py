@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataglean.session import cut_lineage
-from strataglean.skew import add_part, co_occurrence, hot_parts, running_sum
+from strataglean.skew import add_part, broadcast_checked, co_occurrence, hot_parts, running_sum
 
 # Neighbours of one node handled by one task in a breadth-first step.
 HUB_ROWS = 4096
@@ -105,11 +105,13 @@ def _spread_links(edges: DataFrame, hubs: DataFrame | None) -> DataFrame:
     """
     links = add_part(both_ways(edges), hubs, ["src"], "dst").select("src", "part", "dst")
     if hubs is None:
-        return cut_lineage(links.withColumn("dst_parts", F.lit(1)))
-    ends = hubs.select(F.col("src").alias("dst"), F.col("parts").alias("dst_parts"))
-    return cut_lineage(
-        links.join(ends, "dst", "left").withColumn("dst_parts", F.coalesce("dst_parts", F.lit(1)))
-    )
+        links = links.withColumn("dst_parts", F.lit(1))
+    else:
+        ends = hubs.select(F.col("src").alias("dst"), F.col("parts").alias("dst_parts"))
+        links = links.join(ends, "dst", "left").withColumn(
+            "dst_parts", F.coalesce("dst_parts", F.lit(1)))
+    # Small graphs travel to the frontier; larger ones are joined by shuffle.
+    return broadcast_checked(cut_lineage(links))
 
 
 def _expand(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -127,13 +129,17 @@ def _bfs_levels(links: DataFrame, roots: DataFrame) -> list[DataFrame]:
     )
     levels = [level]
     while True:
-        # A neighbour of distance d lies at d-1, d or d+1.
-        seen = reduce(DataFrame.unionByName, levels[-2:]).select("root", "node")
+        # A neighbour of distance d lies at d-1, d or d+1: what is not in the last
+        # two levels is new. One grouping both adds up paths and finds that out.
+        seen = reduce(DataFrame.unionByName, levels[-2:]).select(
+            "root", "node", "parts", F.lit(0.0).alias("paths"), F.lit(True).alias("old"))
+        found = _expand(level, links).select(
+            "root", F.col("dst").alias("node"), F.col("dst_parts").alias("parts"), "paths",
+            F.lit(False).alias("old"))
         level = cut_lineage(
-            _expand(level, links)
-            .groupBy("root", F.col("dst").alias("node"))
-            .agg(F.max("dst_parts").alias("parts"), F.sum("paths").alias("paths"))
-            .join(seen, ["root", "node"], "left_anti")
+            found.unionByName(seen).groupBy("root", "node")
+            .agg(F.max("parts").alias("parts"), F.sum("paths").alias("paths"), F.max("old").alias("old"))
+            .filter(~F.col("old")).drop("old")
         )
         if level.isEmpty():
             return levels
@@ -225,24 +231,20 @@ def top_edge(betweenness: DataFrame, digits: int = 5) -> DataFrame:
 def community_terms(edges: DataFrame, communities: DataFrame) -> DataFrame:
     """``community, inner_edges, degree``: edges inside, and summed degrees, of each community.
 
-    Nodes without a community are left out of the result, not of the degrees.
+    ``communities`` (id, community) may hold several partitions of the nodes at
+    once, told apart by the community.
     """
     placed = communities.select("id", "community")
-    src = placed.withColumnsRenamed({"id": "src", "community": "c_src"})
-    dst = placed.withColumnsRenamed({"id": "dst", "community": "c_dst"})
-    ends = (
-        edges.select("src", "dst").join(src, "src", "left").join(dst, "dst", "left")
-        # Each end adds a degree; an inner edge counts at its first end.
-        .select(F.explode(F.array(
-            F.struct(F.col("c_src").alias("community"),
-                     F.coalesce((F.col("c_src") == F.col("c_dst")).cast("int"), F.lit(0)).alias("inner")),
-            F.struct(F.col("c_dst").alias("community"), F.lit(0).alias("inner")),
-        )).alias("e"))
-        .select("e.*").filter(F.col("community").isNotNull())
-    )
-    return ends.groupBy("community").agg(
-        F.sum("inner").alias("inner_edges"), F.count(F.lit(1)).alias("degree")
+    degrees = both_ways(edges).groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("d"))
+    sums = placed.join(degrees, "id").groupBy("community").agg(F.sum("d").alias("degree"))
+    src = placed.withColumnRenamed("id", "src")
+    dst = placed.withColumnRenamed("id", "dst")
+    inner = (
+        edges.select("src", "dst").join(src, "src").join(dst, ["dst", "community"])
+        .groupBy("community").agg(F.count(F.lit(1)).alias("inner_edges"))
     )
+    return sums.join(inner, "community", "left").withColumn(
+        "inner_edges", F.coalesce("inner_edges", F.lit(0)))
 
 
 def modularity(edges: DataFrame, communities: DataFrame, digits: int = 7) -> DataFrame:
@@ -296,16 +298,15 @@ def cut_sequence(edges: DataFrame) -> DataFrame:
     one after that, and so on. ``gain`` is the change of 4 m^2 * modularity.
     """
     graph = cut_lineage(edges.select("src", "dst"))
-    edge_count, hubs = graph.count(), _hubs(graph)
-    scores, where = _scored_components(graph, hubs)
-    where = cut_lineage(where)
-    terms = cut_lineage(_partition_terms(graph, where, edge_count))
+    hubs = _hubs(graph)
+    scores, community = _scored_components(graph, hubs)
+    where = cut_lineage(community.withColumn("parent", F.col("community")))
     keys = where.select("community").distinct().withColumn(
         "key", F.expr("cast(array() as array<struct<rank:double,src:bigint,dst:bigint>>)"))
-    records = []
+    cuts, history = [], [where.withColumn("round", F.lit(0))]
     while True:
         alive = cut_lineage(
-            scores.join(where.withColumnRenamed("id", "src"), "src").join(keys, "community")
+            scores.join(where.select(F.col("id").alias("src"), "community"), "src").join(keys, "community")
         )
         if alive.isEmpty():
             break
@@ -315,29 +316,39 @@ def cut_sequence(edges: DataFrame) -> DataFrame:
         chosen = cut_lineage(chosen.select(
             "community", "cut",
             F.concat(F.filter("key", lambda e: e > F.col("cut")), F.array("cut")).alias("key")))
+        cuts.append(chosen.withColumn("round", F.lit(len(history))))
         left = alive.select("src", "dst").join(
             chosen.select("cut.src", "cut.dst"), ["src", "dst"], "left_anti")
         scores, reached = _scored_components(left, hubs)
         # Only nodes of components that were cut; one without edges is alone from now on.
-        moved = where.join(chosen.select("community"), "community", "left_semi").select(
-            "id", F.col("community").alias("parent"))
-        moved = cut_lineage(moved.join(reached, "id", "left").withColumn(
-            "community", F.coalesce("community", "id")))
-        where = moved.select("id", "community")
-        lineage = moved.select("community", "parent").distinct()
-        fresh = cut_lineage(
-            lineage.join(_partition_terms(graph, where, edge_count), "community", "left")
-            .withColumn("term", F.coalesce("term", F.lit(0))))
-        gains = fresh.groupBy(F.col("parent").alias("community")).agg(F.sum("term").alias("after")).join(
-            terms.select("community", "term"), "community")
-        records.append(cut_lineage(
-            chosen.join(gains, "community").select(
-                F.col("cut.src").alias("src"), F.col("cut.dst").alias("dst"),
-                F.col("key").alias("cut_key"), (F.col("after") - F.col("term")).alias("gain"))))
-        terms = fresh.select("community", "term")
-        keys = lineage.join(chosen.select(F.col("community").alias("parent"), "key"), "parent").select(
-            "community", "key")
-    return reduce(DataFrame.unionByName, records)
+        where = cut_lineage(
+            where.join(chosen.select("community"), "community", "left_semi")
+            .select("id", F.col("community").alias("parent"))
+            .join(reached, "id", "left")
+            .select("id", F.coalesce("community", "id").alias("community"), "parent"))
+        history.append(where.withColumn("round", F.lit(len(history))))
+        keys = where.select("community", "parent").distinct().join(
+            chosen.select(F.col("community").alias("parent"), "key"), "parent").select("community", "key")
+    return _with_gain(graph, reduce(DataFrame.unionByName, cuts), reduce(DataFrame.unionByName, history))
+
+
+def _with_gain(graph: DataFrame, cuts: DataFrame, history: DataFrame) -> DataFrame:
+    """Each cut with what its component's successors add to 4 m^2 * modularity.
+
+    ``history`` places the nodes in components after every round; a component
+    that is cut in one round arose in the round before.
+    """
+    stamp = F.struct("round", "community")
+    terms = cut_lineage(
+        history.select("round", "community", "parent").distinct()
+        .join(_partition_terms(graph, history.select("id", stamp.alias("community")), graph.count())
+              .select("community.*", "term"), ["round", "community"], "left")
+        .withColumn("term", F.coalesce("term", F.lit(0))))
+    after = terms.groupBy("round", F.col("parent").alias("community")).agg(F.sum("term").alias("after"))
+    before = terms.select((F.col("round") + 1).alias("round"), "community", "term")
+    return cuts.join(after, ["round", "community"]).join(before, ["round", "community"]).select(
+        F.col("cut.src").alias("src"), F.col("cut.dst").alias("dst"),
+        F.col("key").alias("cut_key"), (F.col("after") - F.col("term")).alias("gain"))
 
 
 def divisive_communities(edges: DataFrame, digits: int = 7) -> DataFrame:

@@ -11,7 +11,7 @@ from strataglean.sources import roles
 
 K = 10
 # Limits in units of sqrt(d): chosen so that points and summaries fall on both sides.
-ASSIGN_FACTOR, MERGE_FACTOR = 0.93, 0.45
+ASSIGN_FACTOR, MERGE_FACTOR = 1.0, 0.3
 
 
 def _points(spark, sf):
