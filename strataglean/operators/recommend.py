@@ -160,7 +160,7 @@ def cf_predict(
     weight (ties by item); ``default`` where the weights sum to 0.
     """
     latest = cut_lineage(latest_ratings(ratings))
-    weights = item_weights(ratings, latest, item_pairs_for(latest, targets), k)
+    weights = item_weights(ratings, latest, cut_lineage(item_pairs_for(latest, targets)), k)
     rated = latest.withColumnRenamed("item_id", "other")
     known = latest.select("item_id").distinct()
     warm = spread_join(targets.join(known, "item_id", "left_semi"), rated, ["user_id"], "other")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataglean.operators import itemsets as sets_
+from strataglean.session import cut_lineage
 from strataglean.skew import pieces
 from strataglean.sources import roles
 
@@ -14,7 +15,8 @@ DEEP_SUPPORT = (27, 10000)
 
 
 def _baskets(spark, sf):
-    return roles.baskets(spark, sf)
+    """Kept, because the support is a share of their number and levels read them again."""
+    return cut_lineage(roles.baskets(spark, sf))
 
 
 def _support(baskets, share):

@@ -22,20 +22,21 @@ def _targets(spark, sf, item="l_suppkey"):
 
 def item_pearson(spark, sf):
     latest = cut_lineage(recommend.latest_ratings(roles.train_reviews(spark, sf)))
-    pairs = recommend.item_pairs_for(latest, _targets(spark, sf))
+    pairs = cut_lineage(recommend.item_pairs_for(latest, _targets(spark, sf)))
     return recommend.item_pearson(latest, pairs).withColumn("pearson", F.round("pearson", 6))
 
 
 def item_weights(spark, sf):
     """Parts as items: few co-raters, so most weights come from the means."""
-    train = roles.train_reviews(spark, sf, "l_partkey")
+    train = cut_lineage(roles.train_reviews(spark, sf, "l_partkey"))
     latest = cut_lineage(recommend.latest_ratings(train))
-    pairs = recommend.item_pairs_for(latest, _targets(spark, sf, "l_partkey"))
+    pairs = cut_lineage(recommend.item_pairs_for(latest, _targets(spark, sf, "l_partkey")))
     return recommend.item_weights(train, latest, pairs, 5).withColumn("weight", F.round("weight", 6))
 
 
 def _cf(spark, sf):
-    return recommend.cf_predict(roles.train_reviews(spark, sf), _targets(spark, sf), MIN_CO_RATERS)
+    train = cut_lineage(roles.train_reviews(spark, sf))
+    return recommend.cf_predict(train, cut_lineage(_targets(spark, sf)), MIN_CO_RATERS)
 
 
 def _round(df):
