@@ -118,9 +118,7 @@ def _split_heavy(
     an ordinary basket too. If there are more large baskets than that, the rest
     stays and its pairs are made by many tasks.
     """
-    heavy = cut_lineage(
-        hot_groups(baskets, "basket", HEAVY_BASKET_ITEMS, max(support - 1, 0)).select("basket")
-    )
+    heavy = hot_groups(baskets, "basket", HEAVY_BASKET_ITEMS, max(support - 1, 0)).select("basket")
     n = heavy.count()
     small = n < support - 1
     if n == 0:

@@ -69,7 +69,7 @@ def co_rating_moments(
     quadratically many; for them the wanted pairs are looked up instead.
     """
     key = ["item_1", "item_2"]
-    heavy = cut_lineage(hot_groups(latest, "user_id", heavy_items).select("user_id"))
+    heavy = hot_groups(latest, "user_id", heavy_items).select("user_id")
     any_heavy = not heavy.isEmpty()
     light = latest.join(heavy, "user_id", "left_anti") if any_heavy else latest
     moments = (

@@ -57,14 +57,7 @@ def basket_preprocess(spark, sf):
         F.date_format("o_orderdate", "M/d/yyyy").alias("date"),
         F.concat(F.col("o_custkey").cast("string"), F.lit(" ")).alias("customer"),
         F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("product"))
-    return relational_baskets(raw)
-
-
-def relational_baskets(raw):
-    return raw.select(
-        F.concat_ws("-", F.date_format(F.to_date("date", "M/d/yyyy"), "M/d/yy"), F.trim("customer"))
-        .alias("basket"),
-        F.col("product").cast("bigint").cast("string").alias("item"))
+    return files.transaction_baskets(raw)
 
 
 def city_avg_stars(spark, sf):

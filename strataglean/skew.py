@@ -134,9 +134,15 @@ def pairs_within(
 
 
 def hot_groups(df: DataFrame, key: str, rows: int, at_most: int | None = None) -> DataFrame:
-    """``key, n`` of groups with more than ``rows`` rows, the largest ``at_most`` of them."""
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows)
-    return hot if at_most is None else hot.orderBy(F.desc("n"), key).limit(at_most)
+    """``key, n`` of groups with more than ``rows`` rows, the largest ``at_most`` of them.
+
+    Sorting is needed only if there are more than allowed; ``at_most`` may be a
+    support of many millions, the hot groups are at most a ``rows``-th of the input.
+    """
+    hot = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows))
+    if at_most is None or hot.count() <= at_most:
+        return hot
+    return cut_lineage(hot.orderBy(F.desc("n"), key).limit(at_most))
 
 
 def co_occurrence(
@@ -152,7 +158,7 @@ def co_occurrence(
     """
     hot, n_hot = None, 0
     if at_least > 1:
-        hot = cut_lineage(hot_groups(pairs, group, group_rows, at_least - 1))
+        hot = hot_groups(pairs, group, group_rows, at_least - 1)
         n_hot = hot.count()
     light = pairs if n_hot == 0 else pairs.join(hot, group, "left_anti")
     # With fewer hot groups than allowed, every other group is known to be small.

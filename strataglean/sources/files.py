@@ -36,6 +36,19 @@ def parse_vectors(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def transaction_baskets(raw: DataFrame) -> DataFrame:
+    """``basket, item`` from text columns date (M/d/yyyy), customer and product.
+
+    A basket is a customer's day with a two-digit year; a product id loses its
+    leading zeros.
+    """
+    day = F.date_format(F.to_date("date", "M/d/yyyy"), "M/d/yy")
+    return raw.select(
+        F.concat_ws("-", day, F.trim("customer")).alias("basket"),
+        F.col("product").cast("bigint").cast("string").alias("item"),
+    )
+
+
 def stream_elements(df: DataFrame, order: list[str], element: str, batch_size: int) -> DataFrame:
     """``seq, batch_id, id``: a table read as a stream of batches of ``batch_size`` ids."""
     numbered = dense_number(

@@ -50,6 +50,11 @@ def test_mahalanobis_and_vectors(spark):
     assert [tuple(r) for r in files.parse_vectors(lines).collect()] == [(7, 1, [0.5, -2.0]), (8, 0, [None, 1.0])]
 
 
+def test_transactions(spark, rows):
+    raw = spark.createDataFrame([("11/20/2000", "0123 ", "00456")], "date string, customer string, product string")
+    assert rows(files.transaction_baskets(raw)) == [("11/20/00-0123", "456")]
+
+
 def test_error_bins_and_rmse(spark, rows):
     df = spark.createDataFrame([(0.0, e) for e in (0.0, 0.99, 1.0, 4.99, 5.0)], "t double, g double")
     assert rows(relational.error_histogram(df, "t", "g")) == [(0, 2), (1, 1), (2, 0), (3, 0), (4, 1)]
