@@ -25,9 +25,16 @@ FEATURES = [
 
 
 def latest_ratings(ratings: DataFrame) -> DataFrame:
-    """One rating per (user, item): the latest day, then the highest stars."""
-    return ratings.groupBy("user_id", "item_id").agg(
-        F.max_by("stars", F.struct("day", "stars")).alias("stars")
+    """One rating per (user, item): the latest day, then the highest stars.
+
+    Day and stars (whole, below 1024) become one number, so that this is a plain
+    hash aggregate with a map-side maximum. A row without a day counts as oldest.
+    """
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, F.col("day").cast("timestamp_ntz"))
+    rank = F.coalesce(micros, F.lit(-(1 << 52))) * 1024 + F.col("stars")
+    return ratings.groupBy("user_id", "item_id").agg(F.max(rank).alias("_rank")).select(
+        "user_id", "item_id", F.pmod("_rank", F.lit(1024)).cast("int").alias("stars")
     )
 
 
