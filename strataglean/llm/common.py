@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +40,11 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     other = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
     on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
     return left.join(other, on, how).drop(*[f"_r_{c}" for c in keys])
+
+
+def per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker makes once and keeps from task to task."""
+    store = vars(sys.modules.setdefault("kept_by_worker", ModuleType("kept_by_worker")))
+    if key not in store:
+        store[key] = make()
+    return store[key]

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from strataglean.llm import simhash
+from strataglean.llm import bpe, line_dedup, quality_rules, secret_scan, simhash, token_counts
 
-QUERIES = {"op1_simhash_near_dedup": simhash.op1_simhash_near_dedup}
+QUERIES = {
+    "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op5_secret_scan": secret_scan.op5_secret_scan,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op7_token_counts": token_counts.op7_token_counts,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality_rules.ORACLE}
