@@ -21,6 +21,7 @@ def local_session(cpus: int | str = "*", app: str = "strataglean") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strataglean-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -28,17 +29,16 @@ def local_session(cpus: int | str = "*", app: str = "strataglean") -> SparkSessi
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables.
+    """Folder for checkpoints and intermediate tables, named by ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder: on a cluster the executors could not see it.
+    Where that is unset, a folder of this session below the warehouse is taken: that, too,
+    is a place which the driver and all executors share.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="strataglean-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        root = f"{warehouse}/strataglean-{context.applicationId}"
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")
