@@ -1,26 +1,27 @@
-"""Near-duplicate lines by a segment-partition edit join. DataFrame functions only.
+r"""Near-duplicate lines by a segment-partition edit join. DataFrame functions only.
 
 Lines are the \n-separated parts of the texts, without white space at their ends. A line
-of at least MIN_CHARS characters goes if an equal line stands earlier, by (doc_id,
-text, line number); one of at least NEAR_CHARS also if a line within DISTANCE
-edits, itself of at least NEAR_CHARS, stands earlier. Shorter lines always stay.
+of at least MIN_CHARS characters goes if an equal line stands earlier, by (doc_id, line
+number); one of at least NEAR_CHARS also if a line within DISTANCE edits, itself of at
+least NEAR_CHARS, stands earlier. Shorter lines always stay.
 
 1. Equal lines are merged into one row with its first place, known by two hashes.
-2. Each distinct line is cut into DISTANCE + 1 segments. A line within DISTANCE edits
-   contains one of them unchanged, near the same place; an index row holds (length,
-   segment number, segment), a probe the substrings that a line of some length may
-   share with a line as long or up to DISTANCE shorter.
-3. Index rows and probes meet by hash. Parity bits of the lines' words decide first:
-   an edit changes at most three of them.
-4. What is left is verified by edit distance within a band of DISTANCE.
-
-A segment shared by very many lines would make all pairs of them. Its lines are compared
-with the earliest of them first; who finds a near one there is done, and only the others
-look further.
-
-Null texts have no lines and stay null; null ids come last; repeated rows have equal
-lines in equal places, so none of them counts as earlier than the others; an empty table
-gives an empty result.
+2. Each distinct line is cut into DISTANCE + 1 segments. A line within DISTANCE edits contains
+   one of them unchanged, near the same place. Its keys are the hashes of its own segments and of
+   the substrings that may equal a segment of a line up to DISTANCE shorter; a key holds the
+   segment's number and width. Two near lines share a key.
+3. Keys of a single line are dropped, and lines that share one are paired. Parity bits of the lines'
+   words decide first: an edit changes at most three of them.
+4. What is left is verified by edit distance within a band of DISTANCE (levenshtein with a
+   threshold; word-parallel columns can't be written with DataFrame functions).
+
+A key shared by very many lines would make all pairs of them. Its lines are compared with the
+earliest of them first; two lines that have each found an earlier near one are not compared
+again. Groups that are still large are cut into parts, and each pair of parts is a task's work.
+
+Null texts have no lines and stay null; null ids come last; lines of rows that repeat an id stand
+in equal places, so none of them counts as earlier than the other; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +31,13 @@ from pyspark.sql import functions as F
 
 from strataglean.llm import common
 from strataglean.session import cut_lineage
+from strataglean.skew import broadcast_checked, pairs_within
 
 MIN_CHARS, NEAR_CHARS, DISTANCE = 20, 40, 2
-# Lines with one segment from which those near the earliest one are set apart first.
-HOT_SEGMENT = 64
+# Lines with one key from which they are compared with the earliest of them first.
+HOT_KEY = 64
+# Rows of 16 bytes up to which the keys of several lines are broadcast.
+BROADCAST_KEYS = 1_000_000
 # White space at the ends of a line.
 BLANK = " \t\v\f\r"
 
@@ -56,46 +60,31 @@ def line_keys() -> list[Column]:
 
 def place() -> Column:
     """Where a line stands; least is earliest, null ids are last."""
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "line_no")
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no")
 
 
 def _segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
     """Start (from 1) and width of the segments of a line of this length, the longer ones last."""
     parts = distance + 1
     short = F.floor(length / parts).cast("int")
-    n_long = length - short * parts
-    n_short = parts - n_long
-    found = []
-    for i in range(parts):
-        extra = F.greatest(F.lit(0), F.lit(i) - n_short)
-        found.append((short * i + extra + 1, short + F.when(n_short > i, 0).otherwise(1)))
-    return found
-
-
-def index_keys(distance: int = DISTANCE) -> Column:
-    """Hashes of (length, number, segment) of a line."""
-    length = F.length("line")
-    return F.array(*[
-        F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start, width))
-        for i, (start, width) in enumerate(_segments(length, distance))])
+    n_short = parts - (length - short * parts)
+    return [(short * i + F.greatest(F.lit(0), F.lit(i) - n_short) + 1, short + F.when(n_short > i, 0).otherwise(1))
+            for i in range(parts)]
 
 
-def probe_keys(distance: int = DISTANCE, least: int = NEAR_CHARS) -> Column:
-    """Hashes of the substrings that may equal a segment of a line up to ``distance`` shorter.
+def key_places(length: Column, distance: int = DISTANCE) -> Column:
+    """``i, at, width`` of every substring that a line of this length may share with a near one.
 
     With i segments before it and distance - i after it, a segment cannot have moved
     by more than the edits to its left, nor, seen from the end, by those to its right.
     """
-    length, keys = F.length("line"), []
+    found = []
     for less in range(distance + 1):
-        other = length - less
-        for i, (start, width) in enumerate(_segments(other, distance)):
+        for i, (start, width) in enumerate(_segments(length - less, distance)):
             lowest, highest = max(-i, less - (distance - i)), min(i, less + (distance - i))
             for move in range(lowest, highest + 1):
-                at = start + move
-                inside = (at >= 1) & (at + width - 1 <= length) & (other >= least)
-                keys.append(F.when(inside, F.xxhash64(other, F.lit(i), F.substring(F.col("line"), at, width))))
-    return F.array_compact(F.array(*keys))
+                found.append(F.struct(F.lit(i).alias("i"), (start + move).alias("at"), width.alias("width")))
+    return F.array_distinct(F.array(*found))
 
 
 def word_parity() -> Column:
@@ -107,78 +96,85 @@ def word_parity() -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``k1, k2, first`` and, for lines that may have near ones, ``parity, index, probes``."""
-    near = F.length("line") >= NEAR_CHARS
-    return (
-        lines(docs).select(
-            *line_keys(), place().alias("at"), F.when(near, word_parity()).alias("parity"),
-            F.when(near, index_keys()).alias("index"), F.when(near, probe_keys()).alias("probes"))
-        .groupBy("k1", "k2")
-        .agg(F.min("at").alias("first"), *[F.first(c).alias(c) for c in ("parity", "index", "probes")])
-    )
+    """``k1, k2, line, first, n``: every line once, its first place, and how often it occurs."""
+    return lines(docs).select(*line_keys(), "line", place().alias("at")).groupBy("k1", "k2").agg(
+        F.first("line").alias("line"), F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of lines ``later, earlier`` (hashes) that are within DISTANCE edits."""
+def line_index(distinct: DataFrame) -> DataFrame:
+    """``key, k1``: distinct keys of the lines that may have near ones."""
+    length = F.length("line")
+    near = distinct.filter(length >= NEAR_CHARS).select("k1", "line", length.alias("length"))
+    # One row per key before the text is cut, so that the cutting is compiled code.
+    places = near.select("k1", "line", "length", F.explode(key_places(F.col("length"))).alias("p"))
+    inside = (F.col("p.at") >= 1) & (F.col("p.at") + F.col("p.width") - 1 <= F.col("length"))
+    return places.filter(inside).select(
+        F.xxhash64("p.i", "p.width", F.substring("line", F.col("p.at"), F.col("p.width"))).alias("key"), "k1")
+
+
+def shared_keys(distinct: DataFrame) -> DataFrame:
+    """``key, n, k1, parity`` of the keys that more than one line has."""
+    index = line_index(distinct)
+    counted = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = cut_lineage(index.join(broadcast_checked(cut_lineage(counted), BROADCAST_KEYS), "key"))
+    wanted = cut_lineage(rows.select("k1").distinct())
+    bits = distinct.join(broadcast_checked(wanted, BROADCAST_KEYS), "k1", "left_semi").select(
+        "k1", word_parity().alias("parity"), "first")
+    return rows.distinct().join(bits, "k1")
+
+
+def _few_bits(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= 3 * DISTANCE
+
+
+def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``k1, k2`` of the later line of each pair (a, b) of k1 that is within DISTANCE edits."""
     pairs = cut_lineage(pairs.distinct())
-    wanted = pairs.select("later.*").unionByName(pairs.select("earlier.*")).distinct()
-    texts = cut_lineage(
-        lines(docs).filter(F.length("line") >= NEAR_CHARS).select(*line_keys(), "line")
-        .join(wanted, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("line").alias("line")))
-    named = texts.select(F.struct("k1", "k2").alias("k"), "line")
-    return (
-        pairs.join(named.withColumnsRenamed({"k": "later", "line": "a"}), "later")
-        .join(named.withColumnsRenamed({"k": "earlier", "line": "b"}), "earlier")
-        .filter(F.levenshtein("a", "b", DISTANCE) >= 0).select("later", "earlier")
+    wanted = cut_lineage(pairs.select(F.col("a").alias("k1")).unionByName(pairs.select(F.col("b").alias("k1"))).distinct())
+    texts = cut_lineage(distinct.join(broadcast_checked(wanted, BROADCAST_KEYS), "k1", "left_semi").select(
+        "k1", F.struct("first", "k1", "k2", "line").alias("own")))
+    both = (
+        pairs.join(texts.withColumnsRenamed({"k1": "a", "own": "x"}), "a")
+        .join(texts.withColumnsRenamed({"k1": "b", "own": "y"}), "b")
+        .filter((F.col("x.first") != F.col("y.first"))
+                & (F.least(F.length("x.line"), F.length("y.line")) >= NEAR_CHARS)
+                & (F.levenshtein("x.line", "y.line", DISTANCE) >= 0))
     )
+    later = F.when(F.col("x.first") > F.col("y.first"), F.col("x")).otherwise(F.col("y"))
+    return both.select(later.alias("later")).select("later.k1", "later.k2").distinct()
 
 
-def near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
+def near_lines(distinct: DataFrame) -> DataFrame:
     """``k1, k2`` of the distinct lines that have a near line at an earlier place."""
-    own = F.struct("k1", "k2").alias("own")
-    side = distinct.filter("index is not null")
-    index = side.select(own, "first", "parity", F.explode("index").alias("key"))
-    probes = side.select(own, "first", "parity", F.explode("probes").alias("key"))
-    few_bits = F.bit_count(F.col("p.parity").bitwiseXOR(F.col("i.parity"))) <= 3 * DISTANCE
-    # Lines that share one segment may be very many; each is first held against the earliest.
-    hot = cut_lineage(
-        index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "own", "parity")).alias("top"))
-        .filter(F.col("n") > HOT_SEGMENT).select("key", "top.first", "top.own", "top.parity"))
-    done = None
+    rows = cut_lineage(shared_keys(distinct))
+    hot, done = rows.filter(F.col("n") >= HOT_KEY), None
     if not hot.isEmpty():
-        to_top = (
-            probes.alias("p").join(hot.alias("i"), "key")
-            .filter((F.col("i.first") < F.col("p.first")) & few_bits)
-            .select(F.col("p.own").alias("later"), F.col("i.own").alias("earlier")))
-        done = cut_lineage(_verified(to_top, docs).select("later.*").distinct())
-        # Who has a near line needs no other, but stays in the index for the rest.
-        left = side.join(done, ["k1", "k2"], "left_anti")
-        probes = left.select(own, "first", "parity", F.explode("probes").alias("key"))
-        finds = left.select(own, "first", "parity", F.explode("index").alias("key"))
+        top = hot.groupBy("key").agg(F.min(F.struct("first", "k1", "parity")).alias("top"))
+        to_top = hot.join(top, "key").filter(
+            (F.col("k1") != F.col("top.k1")) & _few_bits(F.col("parity"), F.col("top.parity")))
+        done = cut_lineage(_verified(to_top.select(F.col("k1").alias("a"), F.col("top.k1").alias("b")), distinct))
+        found = done.select("k1").distinct().withColumn("done", F.lit(True))
+        rows = cut_lineage(rows.join(found, "k1", "left").withColumn("done", F.coalesce("done", F.lit(False))))
     else:
-        finds = index
-    # A pair meets where the longer line probes the shorter one, whichever stands earlier.
-    as_probe = probes.alias("p").join(index.alias("i"), (F.col("p.key") == F.col("i.key")) & few_bits
-                                      & (F.col("i.first") < F.col("p.first")))
-    all_probes = side.select(own, "first", "parity", F.explode("probes").alias("key"))
-    as_index = all_probes.alias("i").join(finds.alias("p"), (F.col("p.key") == F.col("i.key")) & few_bits
-                                          & (F.col("i.first") < F.col("p.first")))
-    pairs = as_probe.select(F.col("p.own").alias("later"), F.col("i.own").alias("earlier")).unionByName(
-        as_index.select(F.col("p.own").alias("later"), F.col("i.own").alias("earlier")))
-    found = _verified(pairs, docs).select("later.*").distinct()
-    return found if done is None else found.unionByName(done)
+        rows = rows.withColumn("done", F.lit(False))
+    pairs = pairs_within(rows, ["key"], "k1", ("parity", "done")).filter(
+        _few_bits(F.col("a.parity"), F.col("b.parity")) & ~(F.col("a.done") & F.col("b.done")))
+    found = _verified(pairs.select(F.col("a.k1").alias("a"), F.col("b.k1").alias("b")), distinct)
+    return found if done is None else found.unionByName(done).distinct()
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, print, line_no, near`` of the lines that go; ``near`` if only a near one is earlier."""
     distinct = cut_lineage(distinct_lines(docs))
-    near = cut_lineage(near_lines(distinct, docs).withColumn("near", F.lit(True)))
-    marked = distinct.select("k1", "k2", "first").join(near, ["k1", "k2"], "left")
-    places = lines(docs).select(*line_keys(), place().alias("at"))
+    near = cut_lineage(near_lines(distinct).withColumn("near", F.lit(True)))
+    concerned = cut_lineage(
+        distinct.select("k1", "k2", "first", "n").join(near, ["k1", "k2"], "left")
+        .filter((F.col("n") > 1) | F.col("near")).drop("n"))
+    places = lines(docs).select(*line_keys(), place().alias("at"), "print")
     return (
-        places.join(marked, ["k1", "k2"])
+        places.join(concerned, ["k1", "k2"])
         .filter((F.col("at") > F.col("first")) | F.col("near"))
-        .select("at.doc_id", "at.print", "at.line_no", (F.col("at") == F.col("first")).alias("near"))
+        .select("at.doc_id", "print", "at.line_no", (F.col("at") == F.col("first")).alias("near"))
         .distinct()
     )
 
