@@ -1,7 +1 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
-
-import strataglean
-from pyspark import cloudpickle
-
-# Functions that run in tasks travel with their code: executors need no copy of the library.
-cloudpickle.register_pickle_by_value(strataglean)

@@ -24,9 +24,13 @@ from pyspark.sql import functions as F
 from strataglean.session import scratch_path
 
 # Bytes of text in a block, bytes of text for each bucket, most buckets.
-BLOCK_BYTES, BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 8 << 20, 20_000
+BLOCK_BYTES, BUCKET_BYTES, MAX_BUCKETS = 8 << 20, 8 << 20, 20_000
+# Bytes of text whose blocks lie in one bucket of the table, and most of its buckets.
+TABLE_BYTES, MAX_TABLE_BUCKETS = 32 << 20, 50_000
 
-SCHEMA = "kind string, block long, bucket int, doc_ids array<long>, lengths array<long>, packet binary"
+BLOCK = "block long, doc_ids array<long>, lengths array<long>, codes binary, extra binary"
+PACKET = "block long, bucket long, packet binary"
+TABLE = f"{BLOCK}, bucket long, packet binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -60,113 +64,133 @@ def unpack_tokens(packet: bytes) -> list[bytes]:
     return [whole[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """Buckets for these texts: proportional to their bytes, one at least."""
-    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    return int(min(MAX_BUCKETS, -(-total // BUCKET_BYTES) or 1))
+def text_bytes(docs: DataFrame) -> int:
+    return int(docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0)
 
 
-def _row(kind: str, block: int, bucket: int, doc_ids: list | None, lengths: list | None, packet: bytes):
-    return {"kind": kind, "block": block, "bucket": bucket, "doc_ids": doc_ids, "lengths": lengths,
-            "packet": packet}
+def portions(total: int, size: int, most: int) -> int:
+    """How many portions of ``size`` bytes ``total`` makes: one at least, ``most`` at most."""
+    return min(most, -(-total // size) or 1)
 
 
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    types = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int32()),
-                       ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
-                       ("packet", pa.binary())])
-    return pa.RecordBatch.from_pylist(rows, types)
+def pairs(batch: pa.RecordBatch, rows: int = 128) -> Iterator[tuple]:
+    """Rows of a batch, some at a time: texts as Python objects are larger than in a batch."""
+    for start in range(0, batch.num_rows, rows):
+        yield from zip(*(c.to_pylist() for c in batch.slice(start, rows).columns))
 
 
-def build(docs: DataFrame, split: Callable[[str], list], token_bytes: Callable[[object], bytes],
-          buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of ``docs`` (doc_id, text): see SCHEMA.
+def gather(batches: Iterator[pa.RecordBatch], split: Callable[[str], list],
+           block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, list, list, np.ndarray, list]]:
+    """Blocks of (doc_id, text) rows: number, ids, numbers of tokens, codes, distinct tokens.
 
-    kind 'codes': one row per block with its documents' ids, their numbers of tokens and
-    all codes. kind 'tokens': one row per (block, bucket) with the bucket's distinct tokens
-    in the order of their codes. The table is written to the shared folder, so that
-    neither part is ever computed twice.
+    Frequent tokens have small codes; the tokens come in the order of their codes. A block's
+    number is the same whenever its task runs again.
     """
-    def emit(number: int, ids: list, lengths: list, codes: list, known: dict) -> Iterator[pa.RecordBatch]:
-        block = (TaskContext.get().partitionId() << 32) + number
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-        tokens = [token_bytes(t) for t in known]
-        place = np.fromiter((crc32(t) % buckets for t in tokens), np.int64, len(tokens))
-        # Frequent tokens get small codes; those of one bucket are in a row.
-        often = np.bincount(flat, minlength=len(tokens))
-        rank = np.empty(len(tokens), np.uint32)
+    task = TaskContext.get().partitionId() << 32
+
+    def block() -> tuple[int, list, list, np.ndarray, list]:
+        flat = np.concatenate(codes)
+        often = np.bincount(flat, minlength=len(known)) if len(flat) else np.zeros(0, np.int64)
         order = np.argsort(-often, kind="stable")
-        rank[order] = np.arange(len(tokens), dtype=np.uint32)
-        yield _batch([_row("codes", block, -1, ids, lengths, pack(rank[flat] if len(flat) else flat))])
-        by_bucket = order[np.argsort(place[order], kind="stable")]
-        cuts = np.flatnonzero(np.diff(place[by_bucket])) + 1
-        rows = []
-        for part in np.split(by_bucket, cuts) if len(by_bucket) else []:
-            rows.append(_row("tokens", block, int(place[part[0]]), None, None,
-                             pack_tokens([tokens[i] for i in part])))
-        if rows:
-            yield _batch(rows)
-        yield _batch([_row("order", block, -1, None, None, pack(rank[by_bucket]))])
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        tokens = list(known)
+        return task + next(numbers), ids, lengths, rank[flat], [tokens[i] for i in order]
+
+    numbers = count()
+    ids, lengths, codes, size = [], [], [], 0
+    known: dict = defaultdict(count().__next__)
+    for batch in batches:
+        for doc_id, text in pairs(batch):
+            tokens = split(text or "")
+            ids.append(doc_id)
+            lengths.append(len(tokens))
+            codes.append(np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens)))
+            size += len(text or "")
+            if size >= block_bytes:
+                yield block()
+                ids, lengths, codes, size = [], [], [], 0
+                known = defaultdict(count().__next__)
+    if ids:
+        yield block()
+
+
+def batch_of(rows: list[dict], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+    fields = [field.split() for field in schema.split(", ")]
+    return pa.RecordBatch.from_pylist(rows, pa.schema([(name, kinds[kind]) for name, kind in fields]))
+
+
+def store(made: DataFrame, total: int) -> DataFrame:
+    """Write rows of one or more kinds to the shared folder, dealt by block, and read them again.
+
+    So no part is computed twice, and what is joined to the blocks later is dealt alike and
+    the blocks stay where they are.
+    """
+    spark = made.sparkSession
+    path = scratch_path(spark, "blocks")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    (made.write.bucketBy(portions(total, TABLE_BYTES, MAX_TABLE_BUCKETS), "block").option("path", path)
+     .option("compression", "none").format("parquet").saveAsTable(name))
+    table = spark.table(name)
+    return table
+
+
+def build(docs: DataFrame, split: Callable[[str], list], token_bytes: Callable[[object], bytes],
+          total: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks of ``docs`` (doc_id, text), ``total`` bytes in all: see TABLE.
+
+    One row per block has its documents' ids, their numbers of tokens, all codes, and for each
+    code its bucket. One row per (block, bucket) has the bucket's distinct tokens in the
+    order of their codes.
+    """
+    buckets = portions(total, BUCKET_BYTES, MAX_BUCKETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = count()
-        ids, lengths, codes, size = [], [], [], 0
-        known: dict = defaultdict(count().__next__)
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = split(text or "")
-                ids.append(doc_id)
-                lengths.append(len(tokens))
-                codes.append(np.fromiter(map(known.__getitem__, tokens), np.uint32, len(tokens)))
-                size += len(text or "")
-                if size >= block_bytes:
-                    yield from emit(next(numbers), ids, lengths, codes, known)
-                    ids, lengths, codes, size = [], [], [], 0
-                    known = defaultdict(count().__next__)
-        if ids:
-            yield from emit(next(numbers), ids, lengths, codes, known)
-
-    path = scratch_path(docs.sparkSession, "blocks")
-    made = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
-    made.write.partitionBy("kind").option("compression", "none").parquet(path)
-    return docs.sparkSession.read.schema(SCHEMA).parquet(path)
-
-
-def answer(blocks: DataFrame, reply: Callable[[list[bytes]], bytes]) -> DataFrame:
-    """Packets of tokens through ``reply``, dealt by bucket, so that equal tokens meet."""
+        for block, ids, lengths, codes, known in gather(batches, split, block_bytes):
+            tokens = [token_bytes(t) for t in known]
+            place = np.fromiter((crc32(t) % buckets for t in tokens), np.uint32, len(tokens))
+            yield batch_of([{"block": block, "doc_ids": ids, "lengths": lengths, "codes": pack(codes),
+                             "extra": pack(place)}], TABLE)
+            by_bucket = np.argsort(place, kind="stable")
+            cuts = np.flatnonzero(np.diff(place[by_bucket])) + 1
+            rows = [{"block": block, "bucket": int(place[part[0]]), "packet": pack_tokens([tokens[i] for i in part])}
+                    for part in np.split(by_bucket, cuts) if len(part)]
+            if rows:
+                yield batch_of(rows, TABLE)
+
+    made = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, TABLE)
+    return store(made, total)
+
+
+def answer(blocks: DataFrame, reply: Callable[[list[bytes]], bytes], forget: Callable[[], None]) -> DataFrame:
+    """Packets of tokens through ``reply``, dealt by bucket, so that equal tokens meet.
+
+    ``forget`` is called whenever another bucket begins.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            for block, bucket, packet in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                yield _batch([_row("answer", block, bucket, None, None, reply(unpack_tokens(packet)))])
+            for start in range(0, batch.num_rows, 16):
+                part = batch.slice(start, 16)
+                rows = []
+                for block, bucket, packet in zip(*(c.to_pylist() for c in part.columns)):
+                    if bucket != last:
+                        forget()
+                        last = bucket
+                    rows.append({"block": block, "bucket": bucket, "packet": reply(unpack_tokens(packet))})
+                yield batch_of(rows, PACKET)
 
-    asked = blocks.filter("kind = 'tokens'").select("block", "bucket", "packet").repartition("bucket")
-    return asked.mapInArrow(run, SCHEMA)
+    asked = blocks.filter("packet is not null").select("block", "bucket", "packet")
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PACKET)
 
 
-def reassemble(blocks: DataFrame, answers: DataFrame,
-               finish: Callable[[list, np.ndarray, np.ndarray, list[bytes]], Iterator[pa.RecordBatch]],
+def reassemble(blocks: DataFrame, answers: DataFrame, finish: Callable[[dict, list[bytes]], pa.Table],
                schema: str) -> DataFrame:
-    """Bring every block's codes and answers together.
+    """``finish`` for every block's row and its answers by bucket."""
+    def run(own: pa.Table, answered: pa.Table) -> pa.Table:
+        parts = sorted(zip(answered.column("bucket").to_pylist(), answered.column("packet").to_pylist()))
+        return finish(own.to_pylist()[0], [packet for _, packet in parts])
 
-    ``finish`` gets the documents' ids, their token counts, all positions in answer order
-    and the answers by bucket.
-    """
-    def run(whole: pa.Table) -> pa.Table:
-        codes, order, parts = None, None, []
-        for row in whole.to_pylist():
-            if row["kind"] == "codes":
-                codes = row
-            elif row["kind"] == "order":
-                (order,) = unpack(row["packet"], np.uint32)
-            else:
-                parts.append((row["bucket"], row["packet"]))
-        (flat,) = unpack(codes["packet"], np.uint32)
-        place = np.empty(len(order), np.uint32)
-        place[order] = np.arange(len(order), dtype=np.uint32)  # where a code's answer stands
-        positions = place[flat] if len(flat) else flat
-        return pa.Table.from_batches(list(finish(
-            codes["doc_ids"], np.array(codes["lengths"], np.int64), positions,
-            [p for _, p in sorted(parts)])))
-
-    own = blocks.filter("kind in ('codes', 'order')")
-    return own.unionByName(answers).groupBy("block").applyInArrow(run, schema)
+    own = blocks.filter("codes is not null").select("block", "doc_ids", "lengths", "codes", "extra")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)

@@ -30,8 +30,8 @@ from pyspark.sql.types import BinaryType
 from strataglean.llm import blocks, common
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# Merged words a task remembers, and the length from which a heap finds the next merge.
-REMEMBERED, LONG = 1_000_000, 96
+# Merged words a task remembers within a bucket; the length from which a heap finds the next merge.
+REMEMBERED, LONG = 300_000, 96
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -107,41 +107,43 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     known: dict[bytes, list[int]] = {}
 
     def reply(words: list[bytes]) -> bytes:
-        table = shared.value
-        if len(known) > REMEMBERED:
-            known.clear()
-        found = []
+        table, found = shared.value, []
         for word in words:
             ids = known.get(word)
             if ids is None:
                 ids = known[word] = merge(word, table)
             found.append(ids)
+        if len(known) > REMEMBERED:
+            known.clear()
         return blocks.pack(np.array([len(x) for x in found], np.uint32),
                            np.fromiter((i for x in found for i in x), np.uint32))
 
-    def finish(doc_ids: list, lengths: np.ndarray, positions: np.ndarray,
-               packets: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def finish(block: dict, packets: list[bytes]) -> pa.Table:
+        (codes,), (place,) = (blocks.unpack(block[c], np.uint32) for c in ("codes", "extra"))
         answers = [blocks.unpack(p, np.uint32, np.uint32) for p in packets]
-        sizes = np.concatenate([a for a, _ in answers] or [np.zeros(0, np.uint32)]).astype(np.int64)
-        flat = np.concatenate([b for _, b in answers] or [np.zeros(0, np.uint32)]).astype(np.int32)
-        starts = np.cumsum(sizes) - sizes
-        ends = np.cumsum(lengths)
-        # Some documents at a time: their ids are far more than the words they come from.
-        for first in range(0, len(doc_ids), 256):
-            last = min(first + 256, len(doc_ids))
-            words = positions[ends[first] - lengths[first] : ends[last - 1]]
-            n = sizes[words]
-            into = np.cumsum(n)
-            total = int(into[-1]) if len(into) else 0
-            ids = flat[np.arange(total) + np.repeat(starts[words] - (into - n), n)]
-            word_ends = ends[first:last] - (ends[first] - lengths[first])
-            offsets = np.concatenate([[0], np.concatenate([[0], into])[word_ends]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids[first:last], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["doc_id", "ids"])
-
-    made = blocks.build(docs, splitter.findall, str.encode, blocks.bucket_count(docs))
-    return blocks.reassemble(made, blocks.answer(made, reply), finish, "doc_id long, ids array<int>")
+        sizes = np.concatenate([a for a, _ in answers] or [place])
+        flat = np.concatenate([b for _, b in answers] or [place]).astype(np.int32)
+        # Answers come by bucket and, within one, by code.
+        by_bucket = np.argsort(place, kind="stable")
+        starts, n_ids = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+        starts[by_bucket], n_ids[by_bucket] = np.cumsum(sizes, dtype=np.int64) - sizes, sizes
+        found, at = [], 0
+        for first in range(0, len(block["doc_ids"]), 64):  # ids are more than the words they come from
+            lengths = np.array(block["lengths"][first : first + 64], np.int64)
+            words = codes[at : at + int(lengths.sum())]
+            at += len(words)
+            n = n_ids[words]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.arange(upto[-1]) + np.repeat(starts[words] - upto[:-1], n)]
+            offsets = upto[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+            found.append(pa.RecordBatch.from_arrays(
+                [pa.array(block["doc_ids"][first : first + 64], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["doc_id", "ids"]))
+        return pa.Table.from_batches(found)
+
+    made = blocks.build(docs, splitter.findall, str.encode, blocks.text_bytes(docs))
+    answers = blocks.answer(made, reply, known.clear)
+    return blocks.reassemble(made, answers, finish, "doc_id long, ids array<int>")
 
 
 def decoder(ranks: dict[bytes, int]) -> Callable[[Column], Column]:
