@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from strataglean.llm import bpe, line_dedup, quality_rules, secret_scan, simhash, token_counts
+from strataglean.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    lm,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
+    "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op5_secret_scan": secret_scan.op5_secret_scan,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_warc_fixity": warc.op9_warc_fixity,
+    "op10_lm_scoring": lm.op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {"op8_quality_rules": quality_rules.ORACLE}
+ORACLES: dict[str, str] = {
+    "op8_quality_rules": quality_rules.ORACLE,
+    "op9_warc_fixity": warc.ORACLE,
+    "op10_lm_scoring": lm.ORACLE,
+}
