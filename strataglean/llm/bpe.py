@@ -22,12 +22,12 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from strataglean.llm import blocks, common
+from strataglean.llm.letters import exchanges, splitter
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Merged words a task remembers within a bucket; the length from which a heap finds the next merge.
@@ -102,7 +102,7 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id, ids`` for every row of ``docs`` (doc_id, text)."""
-    splitter = regex.compile(pattern)
+    split = splitter(pattern, exchanges("tiktoken"))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # bounded by the vocabulary file
     known: dict[bytes, list[int]] = {}
 
@@ -141,7 +141,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["doc_id", "ids"]))
         return pa.Table.from_batches(found)
 
-    made = blocks.build(docs, splitter.findall, str.encode, blocks.text_bytes(docs))
+    made = blocks.build(docs, split, str.encode, blocks.text_bytes(docs))
     answers = blocks.answer(made, reply, known.clear)
     return blocks.reassemble(made, answers, finish, "doc_id long, ids array<int>")
 

@@ -37,6 +37,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strataglean.llm import common
 from strataglean.llm.bpe import merge_parts
+from strataglean.llm.letters import exchanges, splitter
 
 VOCABULARY = "word_bpe_49k.json"
 # Code points of a chunk, neighbours that one step of the scan combines, tokens of a full context.
@@ -48,16 +49,14 @@ MAX_STATES, MAX_WORDS = 200_000, 500_000
 class Tokenizer:
     """What the vocabulary file says: words, symbols and ranked merges."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, exchange: dict[int, str]):
         with open(path, encoding="utf-8") as file:
-            self._read(json.load(file))
-
-    def _read(self, spec: dict) -> None:
+            spec = json.load(file)
         model = spec["model"]
         self.merges = {(a, b): rank for rank, (a, b) in enumerate(model["merges"])}
         self.end = model["end_of_word_suffix"] or ""
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.words = splitter(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"], exchange)
         self.letter = _byte_letters()
 
     def rank(self, left: str, right: str) -> int | None:
@@ -155,8 +154,8 @@ def _reachable(tokenizer: Tokenizer) -> dict[str, tuple[str, ...]]:
 class TokenCounter:
     """Counts whole stretches of text that begin and end at a word's border."""
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer(path)
+    def __init__(self, path: str, exchange: dict[int, str]):
+        self.tokenizer = Tokenizer(path, exchange)
         self.transducer = Transducer(self.tokenizer)
         self.known: dict[str, int] = {}
         self.cut = regex.compile("|".join(map(regex.escape, self.tokenizer.special)) or r"(?!)")
@@ -167,7 +166,7 @@ class TokenCounter:
         known, total = self.known, 0
         if len(known) > MAX_WORDS:
             known.clear()
-        for word, times in Counter(self.tokenizer.words.findall(plain)).items():
+        for word, times in Counter(self.tokenizer.words(plain)).items():
             n = known.get(word)
             if n is None:
                 n = known[word] = self.transducer.count(word)
@@ -214,8 +213,10 @@ MAPS = StructType([StructField("head", StringType()), StructField("between", Lon
 
 def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK, fan_in: int = FAN_IN) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` for every row of ``docs`` (doc_id, text)."""
+    exchange = exchanges("tokenizers")
+
     def counter() -> TokenCounter:
-        return common.per_worker(f"tokens of {path}", lambda: TokenCounter(path))
+        return common.per_worker(f"tokens of {path}", lambda: TokenCounter(path, exchange))
 
     @F.pandas_udf(LongType())
     def short(texts: pd.Series) -> pd.Series:

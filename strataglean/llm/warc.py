@@ -15,7 +15,7 @@ A replica is a table of records at offsets of files. ``audit`` compares two repl
 
 A record is ``corrupt`` if its hash differs at the same offset, ``missing`` or ``extra`` if only
 the first or only the second replica has one there. Equal pages are one record, with their number in
-the result of ``records``. Null ids, urls and texts are empty strings in a record, null ids null in
+the result of ``records``. Line ends in a url are escaped. Null ids, urls and texts are empty strings in a record, null ids null in
 the result. Without pages there are no records, and equal replicas give an empty result. No
 step gathers more than one range, FAN_OUT nodes, or, by the window over sizes, one file's layout.
 """
@@ -38,6 +38,11 @@ def _text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def _one_line(value: Column) -> Column:
+    """A header's value must not end its line."""
+    return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
 def as_records(pages: DataFrame) -> DataFrame:
     """``pages`` with ``record_id`` and ``record``, the text of the WARC record of (page_id, url, html)."""
     digest = F.sha2(_text("html"), 256)
@@ -45,7 +50,7 @@ def as_records(pages: DataFrame) -> DataFrame:
     uuid = F.concat_ws("-", *[F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     head = F.concat_ws(
         END, F.lit(VERSION), F.lit(f"WARC-Type: {KIND}"), F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), uuid, F.lit(">")),
-        F.concat(F.lit("WARC-Target-URI: "), _text("url")), F.lit(f"WARC-Date: {DATE}"),
+        F.concat(F.lit("WARC-Target-URI: "), _one_line(_text("url"))), F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Block-Digest: sha256:"), digest), F.lit(f"Content-Type: {CONTENT}"),
         F.concat(F.lit("Content-Length: "), F.octet_length(_text("html"))), F.lit(""), F.lit(""))
     return pages.withColumn("record_id", uuid).withColumn(
@@ -200,7 +205,7 @@ def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _record_sql(html: str) -> str:
     return f"""('{VERSION}' || e || 'WARC-Type: {KIND}' || e || 'WARC-Record-ID: <urn:uuid:' || id || '>' || e
-      || 'WARC-Target-URI: ' || u || e || 'WARC-Date: {DATE}' || e || 'WARC-Block-Digest: sha256:' || sha256({html}) || e
+      || 'WARC-Target-URI: ' || replace(replace(u, chr(13), '%0D'), chr(10), '%0A') || e || 'WARC-Date: {DATE}' || e || 'WARC-Block-Digest: sha256:' || sha256({html}) || e
       || 'Content-Type: {CONTENT}' || e || 'Content-Length: ' || strlen({html}) || e || e || {html} || e || e)"""
 
 

@@ -5,21 +5,20 @@ import random
 
 import public_tokenizers
 import pytest
-import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import empty_documents, odd_documents
 
-from strataglean.llm import blocks, bpe
+from strataglean.llm import blocks, bpe, letters
 
 RANKS = bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY))
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
-SPLIT = regex.compile(public_tokenizers.PATTERN)
+SPLIT = letters.splitter(public_tokenizers.PATTERN, letters.exchanges("tiktoken"))
 
 
 def plain(text):
-    return [i for w in SPLIT.findall(text) for i in bpe.merge(w.encode(), RANKS)]
+    return [i for w in SPLIT(text) for i in bpe.merge(w.encode(), RANKS)]
 
 
 @settings(max_examples=300, deadline=None)
@@ -28,6 +27,13 @@ def test_any_text_is_encoded_as_the_library_does(text):
     assert plain(text) == LIBRARY.encode_ordinary(text)
 
 
+def test_characters_that_tables_class_differently():
+    odd = [chr(c) for c in letters.exchanges("tiktoken")]
+    for i in range(0, len(odd), 500):
+        text = "".join(f"{c}é{c} 1{c}.{c}" for c in odd[i:i + 500])
+        assert plain(text) == LIBRARY.encode_ordinary(text)
+
+
 def test_long_words_merge_alike():
     pick = random.Random(1)
     for n in (95, 96, 97, 500):

@@ -9,11 +9,12 @@ from hypothesis import strategies as st
 from odd import empty_documents, odd_documents
 from tokenizers import Tokenizer
 
-from strataglean.llm import token_counts
+from strataglean.llm import letters, token_counts
 
 PATH = public_tokenizers.path(token_counts.VOCABULARY)
 LIBRARY = Tokenizer.from_file(PATH)
-COUNTER = token_counts.TokenCounter(PATH)
+EXCHANGE = letters.exchanges("tokenizers")
+COUNTER = token_counts.TokenCounter(PATH, EXCHANGE)
 
 
 def library(text):
@@ -39,7 +40,7 @@ def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_counts, "MAX_STATES", 5)
     monkeypatch.setattr(token_counts, "MAX_WORDS", 2)
     text = "several words that the transducer has to read again and again, several words"
-    assert token_counts.TokenCounter(PATH).count(text) == library(text)
+    assert token_counts.TokenCounter(PATH, EXCHANGE).count(text) == library(text)
 
 
 def test_state_maps_compose_in_any_order():

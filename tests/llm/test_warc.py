@@ -11,7 +11,7 @@ PAGES = "page_id long, url string, html string, record string, file string"
 
 def pages(spark, n=300):
     rows = [(i, f"http://host{i % 3}/{i}", f"<p>page {i} é</p>" * (i % 7 + 1), "clash", "clash") for i in range(n)]
-    rows += [rows[5]] * 200 + [(None, None, None, None, None), (7, None, "", "x", "y"), (8, "u\r\n\r\nv", "a\r\n\r\nb", "", "")]
+    rows += [rows[1]] * 200 + [(None, None, None, None, None), (7, None, "", "x", "y"), (8, "u\r\n\r\nv", "a\r\n\r\nb", "", "")]
     return spark.createDataFrame(rows, PAGES)
 
 
@@ -20,8 +20,10 @@ def test_records_round_trip(spark):
         [(1, "http://a/b", "<p>é</p>\r\n\r\nmore\r\n", "c", "d"), (2, None, None, None, None)], PAGES))
     parts = sorted(map(tuple, warc.parse(made.select("record")).select("url", "payload", "intact").collect()))
     assert parts == [("", "", True), ("http://a/b", "<p>é</p>\r\n\r\nmore\r\n", True)]
+    split = warc.as_records(spark.createDataFrame([(8, "u\r\n\r\nv", "body", "", "")], PAGES))
+    assert warc.parse(split.select("record")).select("url", "payload").first() == ("u%0D%0A%0D%0Av", "body")
     text = made.filter("page_id = 1").first().record
-    assert text.startswith("WARC/1.0\r\nWARC-Type: resource\r\n") and "Content-Length: 17\r\n\r\n" in text
+    assert text.startswith("WARC/1.0\r\nWARC-Type: resource\r\n") and "Content-Length: 19\r\n\r\n" in text
     broken = made.selectExpr("replace(record, 'more', 'less') record")
     assert sorted(r.intact for r in warc.parse(broken).collect()) == [False, True]
 
