@@ -29,6 +29,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_secret_scan": secret_scan.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_warc_fixity": warc.ORACLE,
     "op10_lm_scoring": lm.ORACLE,

@@ -138,3 +138,33 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts[3:]])
+
+
+def _matches_sql(rank: int) -> str:
+    kind, pattern, group, _ = PATTERNS[rank]
+    pattern = pattern.replace("(?i)password|passwd|secret|token|api_?key", "(?i:password|passwd|secret|token|api_?key)").replace("'", "''")
+    return f"""select r, doc_id, source, {rank} rk, '{kind}' kind, unnest(range(1, len(f) + 1)) i,
+      unnest(list_transform(range(1, len(f) + 1), lambda i: len(b[i]))) gap, unnest(list_transform(f, lambda x: len(x))) width,
+      unnest(v) v from (select r, doc_id, source, string_split_regex(t, '{pattern}') b,
+        regexp_extract_all(t, '{pattern}', 0) f, regexp_extract_all(t, '{pattern}', {group}) v from d) q"""
+
+
+_LONG_ENOUGH = " or ".join(
+    f"(rk = {i} and len(v) >= {least}" + (" and regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]'))" if kind == "owned" else ")")
+    for i, (kind, _, _, least) in enumerate(PATTERNS))
+
+ORACLE = f"""with d as (select row_number() over () r, doc_id, coalesce(text, '') t, source from documents),
+  m as ({" union all ".join(_matches_sql(i) for i in range(len(PATTERNS)))}),
+  e as (select *, sum(gap + width) over (partition by r, rk order by i) fin from m),
+  s as (select *, fin - width ini, kind || ':' || (fin - width)::bigint || ':' || fin::bigint as name from e where {_LONG_ENOUGH}),
+  o as (select v, count(distinct coalesce(source, '')) owners from s group by 1),
+  l as (select s.*, owners < {EXAMPLE_OWNERS} live from s join o using (v)),
+  k as (select * from l where rk < 3 or (live and not exists (
+    select 1 from l x where x.r = l.r and x.rk < 3 and x.ini < l.fin and x.fin > l.ini))),
+  g as (select r, count(*) filter (where rk = 0) n_assign, count(*) filter (where rk = 1) n_access,
+    count(*) filter (where rk = 2) n_hex, string_agg(name, ',' order by ini, rk) filter (where rk < 3) base,
+    string_agg(name, ',' order by ini, rk) spans, count(*) filter (where rk < 3 and live) n_live,
+    count(*) filter (where rk < 3 and not live) n_example, count(*) filter (where rk = 3) n_owned from k group by r)
+select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex,
+  sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans, coalesce(n_live, 0) n_live,
+  coalesce(n_example, 0) n_example, coalesce(n_owned, 0) n_owned from d left join g using (r)"""

@@ -222,10 +222,10 @@ ORACLE = f"""with p as (select distinct page_id, url, coalesce(url, '') u, coale
       {_record_sql("h2").replace("urn:uuid:' || id", "urn:uuid:' || id2")} bad
     from (select *, {_uuid_sql("h2")} id2 from x) y),
   f as (select *, ('0x' || substr(id, 1, 8))::bigint % (select greatest(1, ceil(sum(n) / {FILE_BYTES}))::bigint from r) file from r),
-  l as (select *, coalesce(sum(n) over (partition by file order by page_id nulls first, id rows between unbounded preceding and 1 preceding), 0)::bigint at,
+  l as (select *, coalesce(sum(n) over (partition by file order by page_id nulls first, id rows between unbounded preceding and 1 preceding), 0)::bigint pos,
       sum(n) over (partition by file)::bigint file_end from f),
   t as (select *, page_id % {EVERY} k from l)
-select page_id, file, at "start", n::bigint n_bytes, s sha256,
+select page_id, file, pos "start", n::bigint n_bytes, s sha256,
     case when k <> 1 then strlen(bad)::bigint end n_bytes_found, case when k <> 1 then sha256(bad) end sha256_found,
     case when k = 1 then 'missing' else 'corrupt' end status
   from t where k = 1 or (k in (0, 2) and sha256(bad) <> s)
