@@ -15,9 +15,10 @@ least NEAR_CHARS, stands earlier. Shorter lines always stay.
 4. What is left is verified by edit distance within a band of DISTANCE (levenshtein with a
    threshold; word-parallel columns can't be written with DataFrame functions).
 
-A key shared by very many lines would make all pairs of them. Its lines are compared with the
+A key shared by many lines would make all pairs of them. Its lines are compared with the
 earliest of them first; two lines that have each found an earlier near one are not compared
-again. Groups that are still large are cut into parts, and each pair of parts is a task's work.
+again. The others are verified inside the join, so that only near pairs leave it; groups that
+are still large are cut into parts, and each pair of parts is a task's work.
 
 Null texts have no lines and stay null; null ids come last; lines of rows that repeat an id stand
 in equal places, so none of them counts as earlier than the other; an empty table gives
@@ -35,7 +36,7 @@ from strataglean.skew import broadcast_checked, pairs_within
 
 MIN_CHARS, NEAR_CHARS, DISTANCE = 20, 40, 2
 # Lines with one key from which they are compared with the earliest of them first.
-HOT_KEY = 64
+HOT_KEY = 32
 # Rows of 16 bytes up to which the keys of several lines are broadcast.
 BROADCAST_KEYS = 1_000_000
 # White space at the ends of a line.
@@ -72,8 +73,12 @@ def _segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
             for i in range(parts)]
 
 
+# A key's segment number, start and width as one number: comparing these is much cheaper than structs.
+AT, NUMBER = 1 << 30, 1 << 60
+
+
 def key_places(length: Column, distance: int = DISTANCE) -> Column:
-    """``i, at, width`` of every substring that a line of this length may share with a near one.
+    """Number, start and width of every substring that a line of this length may share with a near one.
 
     With i segments before it and distance - i after it, a segment cannot have moved
     by more than the edits to its left, nor, seen from the end, by those to its right.
@@ -83,7 +88,7 @@ def key_places(length: Column, distance: int = DISTANCE) -> Column:
         for i, (start, width) in enumerate(_segments(length - less, distance)):
             lowest, highest = max(-i, less - (distance - i)), min(i, less + (distance - i))
             for move in range(lowest, highest + 1):
-                found.append(F.struct(F.lit(i).alias("i"), (start + move).alias("at"), width.alias("width")))
+                found.append(F.lit(i * NUMBER).cast("long") + (start + move).cast("long") * AT + width)
     return F.array_distinct(F.array(*found))
 
 
@@ -96,20 +101,21 @@ def word_parity() -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``k1, k2, line, first, n``: every line once, its first place, and how often it occurs."""
+    """``k1, k2, line, length, first, n``: every line once, its first place, and how often it occurs."""
     return lines(docs).select(*line_keys(), "line", place().alias("at")).groupBy("k1", "k2").agg(
-        F.first("line").alias("line"), F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+        F.first("line").alias("line"), F.min("at").alias("first"), F.count(F.lit(1)).alias("n")
+    ).withColumn("length", F.length("line"))
 
 
 def line_index(distinct: DataFrame) -> DataFrame:
     """``key, k1``: distinct keys of the lines that may have near ones."""
-    length = F.length("line")
-    near = distinct.filter(length >= NEAR_CHARS).select("k1", "line", length.alias("length"))
+    near = distinct.filter(F.col("length") >= NEAR_CHARS)
     # One row per key before the text is cut, so that the cutting is compiled code.
     places = near.select("k1", "line", "length", F.explode(key_places(F.col("length"))).alias("p"))
-    inside = (F.col("p.at") >= 1) & (F.col("p.at") + F.col("p.width") - 1 <= F.col("length"))
-    return places.filter(inside).select(
-        F.xxhash64("p.i", "p.width", F.substring("line", F.col("p.at"), F.col("p.width"))).alias("key"), "k1")
+    number, width = F.shiftright("p", 60), F.col("p").bitwiseAND(F.lit(AT - 1)).cast("int")
+    at = F.shiftright("p", 30).bitwiseAND(F.lit(AT - 1)).cast("int")
+    inside = (at >= 1) & (at + width - 1 <= F.col("length"))
+    return places.filter(inside).select(F.xxhash64(number, width, F.substring("line", at, width)).alias("key"), "k1")
 
 
 def shared_keys(distinct: DataFrame) -> DataFrame:
@@ -131,13 +137,13 @@ def _verified(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     """``k1, k2`` of the later line of each pair (a, b) of k1 that is within DISTANCE edits."""
     pairs = cut_lineage(pairs.distinct())
     wanted = cut_lineage(pairs.select(F.col("a").alias("k1")).unionByName(pairs.select(F.col("b").alias("k1"))).distinct())
-    texts = cut_lineage(distinct.join(broadcast_checked(wanted, BROADCAST_KEYS), "k1", "left_semi").select(
+    long = distinct.filter(F.col("length") >= NEAR_CHARS)
+    texts = cut_lineage(long.join(broadcast_checked(wanted, BROADCAST_KEYS), "k1", "left_semi").select(
         "k1", F.struct("first", "k1", "k2", "line").alias("own")))
     both = (
         pairs.join(texts.withColumnsRenamed({"k1": "a", "own": "x"}), "a")
         .join(texts.withColumnsRenamed({"k1": "b", "own": "y"}), "b")
         .filter((F.col("x.first") != F.col("y.first"))
-                & (F.least(F.length("x.line"), F.length("y.line")) >= NEAR_CHARS)
                 & (F.levenshtein("x.line", "y.line", DISTANCE) >= 0))
     )
     later = F.when(F.col("x.first") > F.col("y.first"), F.col("x")).otherwise(F.col("y"))
@@ -148,7 +154,8 @@ def near_lines(distinct: DataFrame) -> DataFrame:
     """``k1, k2`` of the distinct lines that have a near line at an earlier place."""
     rows = cut_lineage(shared_keys(distinct))
     hot, done = rows.filter(F.col("n") >= HOT_KEY), None
-    if not hot.isEmpty():
+    some_hot = not hot.isEmpty()
+    if some_hot:
         top = hot.groupBy("key").agg(F.min(F.struct("first", "k1", "parity")).alias("top"))
         to_top = hot.join(top, "key").filter(
             (F.col("k1") != F.col("top.k1")) & _few_bits(F.col("parity"), F.col("top.parity")))
@@ -157,9 +164,19 @@ def near_lines(distinct: DataFrame) -> DataFrame:
         rows = cut_lineage(rows.join(found, "k1", "left").withColumn("done", F.coalesce("done", F.lit(False))))
     else:
         rows = rows.withColumn("done", F.lit(False))
-    pairs = pairs_within(rows, ["key"], "k1", ("parity", "done")).filter(
-        _few_bits(F.col("a.parity"), F.col("b.parity")) & ~(F.col("a.done") & F.col("b.done")))
-    found = _verified(pairs.select(F.col("a.k1").alias("a"), F.col("b.k1").alias("b")), distinct)
+    possible = _few_bits(F.col("a.parity"), F.col("b.parity")) & ~(F.col("a.done") & F.col("b.done"))
+    names = [F.col("a.k1").alias("a"), F.col("b.k1").alias("b")]
+    pairs = pairs_within(rows.filter(F.col("n") < HOT_KEY), ["key"], "k1", ("parity", "done")).filter(possible).select(*names)
+    if some_hot:
+        # Where pairs would be very many, only near ones leave the join: the lines themselves take part.
+        hot = rows.filter(F.col("n") >= HOT_KEY)
+        wanted = cut_lineage(hot.select("k1").distinct())
+        texts = distinct.join(broadcast_checked(wanted, BROADCAST_KEYS), "k1", "left_semi").select("k1", "line")
+        close = F.levenshtein("a.line", "b.line", DISTANCE) >= 0
+        pairs = pairs.unionByName(
+            pairs_within(cut_lineage(hot.join(texts, "k1")), ["key"], "k1", ("parity", "done", "line"))
+            .filter(possible & close).select(*names))
+    found = _verified(pairs, distinct)
     return found if done is None else found.unionByName(done).distinct()
 
 
