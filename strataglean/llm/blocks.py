@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from strataglean.session import scratch_path
 
 # Bytes of text in a block, bytes of text for each bucket, most buckets.
-BLOCK_BYTES, BUCKET_BYTES, MAX_BUCKETS = 8 << 20, 8 << 20, 20_000
+BLOCK_BYTES, BUCKET_BYTES, MAX_BUCKETS = 6 << 20, 8 << 20, 20_000
 # Bytes of text whose blocks lie in one bucket of the table, and most of its buckets.
 TABLE_BYTES, MAX_TABLE_BUCKETS = 32 << 20, 50_000
 

@@ -31,7 +31,7 @@ from strataglean.llm.letters import exchanges, splitter
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Merged words a task remembers within a bucket; the length from which a heap finds the next merge.
-REMEMBERED, LONG = 300_000, 96
+REMEMBERED, LONG = 100_000, 96
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
