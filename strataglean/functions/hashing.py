@@ -34,7 +34,7 @@ def string_mod(text: Column, modulus: int) -> Column:
     return F.when(text.isNotNull(), F.coalesce(folded, F.lit(0).cast("bigint")))
 
 
-def linear_hash(x: Column, a: int, b: int, modulus: int) -> Column:
+def linear_hash(x: Column, a: int | Column, b: int | Column, modulus: int) -> Column:
     return F.pmod(F.lit(a).cast("bigint") * x + F.lit(b).cast("bigint"), F.lit(modulus).cast("bigint"))
 
 

@@ -16,9 +16,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataglean.functions.hashing import md5_int
 from strataglean.functions.vectors import mean_of, scaled_distance, variance_of
 from strataglean.operators.graph import connected_components
-from strataglean.session import cut_lineage
+from strataglean.session import cut_lineage, scratch_path
 from strataglean.skew import pairs_within
 from strataglean.sources.files import split_sample
 
@@ -258,14 +259,18 @@ def bfr(
     points: DataFrame, k: int, chunks: int = 4, seed: int = 42, factor: float = 2.0, percent: int = 20
 ) -> tuple[DataFrame, DataFrame]:
     """(rounds, labels): ``round, n_discard, n_cs, n_cs_points, n_retained`` and ``id, cluster``."""
-    marked = cut_lineage(split_sample(points.select("id", "features"), "id", percent))
+    drawn = split_sample(points.select("id", "features"), "id", percent)
+    # A chunk's points lie in a folder of their own, so a round reads no others.
+    part = F.when(F.col("sampled"), -1).otherwise(md5_int(F.col("id"), F.lit("chunk")) % chunks).cast("int")
+    path = scratch_path(points.sparkSession, "chunks")
+    drawn.withColumn("chunk", part).drop("sampled").write.partitionBy("chunk").parquet(path)
+    marked = points.sparkSession.read.schema(drawn.withColumn("chunk", part).drop("sampled").schema).parquet(path)
     state = BfrState(k, seed, factor)
-    state.start(marked.filter("sampled").select("id", "features"))
+    state.start(marked.filter("chunk = -1").select("id", "features"))
     state.report(1)
-    chunk_of = F.pmod(F.xxhash64("id"), F.lit(chunks))
-    rest, into_ds = marked.filter("not sampled").select("id", "features"), None
+    into_ds = None
     for c in range(chunks):
-        state.take(rest.filter(chunk_of == c), c + 2)
+        state.take(marked.filter(F.col("chunk") == c).select("id", "features"), c + 2)
         if c == chunks - 1:
             into_ds = state.finish()
         state.report(c + 2)

@@ -15,6 +15,8 @@ from strataglean.skew import add_part, broadcast_checked, co_occurrence, hot_par
 
 # Neighbours of one node handled by one task in a breadth-first step.
 HUB_ROWS = 4096
+# Rows (root, node) that breadth-first steps hold at a time.
+STATE_ROWS = 50_000_000
 
 
 def co_pair_edges(
@@ -147,13 +149,16 @@ def _bfs_levels(links: DataFrame, roots: DataFrame) -> list[DataFrame]:
 
 
 def bfs_path_counts(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
-    """``root, node, dist, n_paths`` for every node reached from every root."""
+    """``root, node, dist, n_paths`` for every node reached from every root.
+
+    Paths are counted in floating point: exact up to 2^53, rounded beyond.
+    """
     levels = _bfs_levels(_spread_links(edges, _hubs(edges)), vertices(edges) if roots is None else roots)
     return reduce(
         DataFrame.unionByName,
         [
             level.select("root", "node", F.lit(d).cast("bigint").alias("dist"),
-                         F.col("paths").cast("bigint").alias("n_paths"))
+                         F.col("paths").alias("n_paths"))
             for d, level in enumerate(levels)
         ],
     )
@@ -194,15 +199,17 @@ def _edge_credit(links: DataFrame, levels: list[DataFrame]) -> DataFrame:
 
 
 def edge_betweenness(
-    edges: DataFrame, roots: DataFrame | None = None, root_batches: int = 1
+    edges: DataFrame, roots: DataFrame | None = None, root_batches: int | None = None
 ) -> DataFrame:
     """``src, dst, betweenness``: shortest-path credit of each edge over all roots, halved.
 
-    State is one row per (root, node); ``root_batches`` bounds how much of it
-    exists at a time on large graphs.
+    State is one row per (root, node); the roots go in batches, by default so many that
+    a batch has at most about STATE_ROWS rows. The result does not depend on it.
     """
     links = _spread_links(edges, _hubs(edges))
     chosen = vertices(edges) if roots is None else roots
+    if root_batches is None:
+        root_batches = max(1, -(-chosen.count() * vertices(edges).count() // STATE_ROWS))
     if root_batches == 1:
         total = _edge_credit(links, _bfs_levels(links, chosen))
     else:
@@ -298,11 +305,15 @@ def cut_sequence(edges: DataFrame) -> DataFrame:
     one after that, and so on. ``gain`` is the change of 4 m^2 * modularity.
     """
     graph = cut_lineage(edges.select("src", "dst"))
+    kind = graph.schema["src"].dataType.simpleString()
+    key = f"array<struct<rank:double,src:{kind},dst:{kind}>>"
+    if graph.isEmpty():
+        return graph.select("src", "dst", F.lit(None).cast(key).alias("cut_key"), F.lit(0).cast("bigint").alias("gain"))
     hubs = _hubs(graph)
     scores, community = _scored_components(graph, hubs)
     where = cut_lineage(community.withColumn("parent", F.col("community")))
     keys = where.select("community").distinct().withColumn(
-        "key", F.expr("cast(array() as array<struct<rank:double,src:bigint,dst:bigint>>)"))
+        "key", F.array().cast(key))
     cuts, history = [], [where.withColumn("round", F.lit(0))]
     while True:
         alive = cut_lineage(
@@ -310,8 +321,7 @@ def cut_sequence(edges: DataFrame) -> DataFrame:
         )
         if alive.isEmpty():
             break
-        edge = F.struct((-F.col("betweenness")).alias("rank"),
-                        F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+        edge = F.struct((-F.col("betweenness")).alias("rank"), "src", "dst")
         chosen = alive.groupBy("community").agg(F.min(edge).alias("cut"), F.any_value("key").alias("key"))
         chosen = cut_lineage(chosen.select(
             "community", "cut",
@@ -357,6 +367,8 @@ def divisive_communities(edges: DataFrame, digits: int = 7) -> DataFrame:
     The uncut graph counts too; of equal partitions the earlier one wins.
     """
     graph = cut_lineage(edges.select("src", "dst"))
+    if graph.isEmpty():  # no node has an edge, so there is none to place
+        return graph.select(F.col("src").alias("id"), F.col("src").alias("community"), F.lit(0.0).alias("modularity"))
     whole = connected_components(graph).withColumnRenamed("component", "community")
     norm = 4.0 * graph.count() ** 2
     start = _partition_terms(graph, whole, graph.count()).agg(F.sum("term")).first()[0]

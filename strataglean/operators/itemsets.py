@@ -1,4 +1,7 @@
-"""Frequent itemsets: level-wise and two-pass partitioned, over (basket, item) rows.
+"""Frequent itemsets: level-wise and two-pass partitioned, over distinct (basket, item) rows.
+
+Support counts baskets, so a row that repeats would count twice: the operators that begin
+from baskets drop repeated rows themselves.
 
 A k-itemset that occurs in a basket is a row (basket, prefix, last): the sorted
 first k-1 items and the largest one. Two rows of a basket that share their
@@ -7,8 +10,10 @@ prefix grow into one row of the next level, so each itemset arises once.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,8 @@ from strataglean.skew import co_occurrence, hot_groups, pairs_in_small_groups, p
 
 # Larger baskets are counted by looking candidates up, not by growing their subsets.
 HEAVY_BASKET_ITEMS = 500
+# Rows of a chunk that one task holds in memory.
+CHUNK_ROWS = 200_000
 
 
 def _itemset():
@@ -31,6 +38,7 @@ def basket_pairs(rows: DataFrame, user: str, item: str, case: int = 1) -> DataFr
 
 def min_size_baskets(baskets: DataFrame, more_than: int) -> DataFrame:
     """Rows of the baskets with more than ``more_than`` distinct items."""
+    baskets = baskets.select("basket", "item").distinct()
     sizes = baskets.groupBy("basket").agg(F.count(F.lit(1)).alias("n"))
     return baskets.join(sizes.filter(F.col("n") > more_than).select("basket"), "basket", "left_semi")
 
@@ -41,7 +49,7 @@ def max_basket_size(baskets: DataFrame) -> DataFrame:
 
 
 def item_counts(baskets: DataFrame, support: int = 1) -> DataFrame:
-    """``item, support`` of items in at least ``support`` baskets."""
+    """``item, support`` of items in at least ``support`` baskets; rows have to be distinct."""
     return (
         baskets.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
         .filter(F.col("support") >= support)
@@ -50,6 +58,7 @@ def item_counts(baskets: DataFrame, support: int = 1) -> DataFrame:
 
 def frequent_pairs(baskets: DataFrame, support: int) -> DataFrame:
     """``itemset, support`` of pairs in at least ``support`` baskets."""
+    baskets = baskets.select("basket", "item").distinct()
     pruned = baskets.join(item_counts(baskets, support).select("item"), "item", "left_semi")
     return co_occurrence(pruned, "basket", "item", support, HEAVY_BASKET_ITEMS).select(
         F.array("member_1", "member_2").alias("itemset"), F.col("shared").alias("support")
@@ -57,15 +66,25 @@ def frequent_pairs(baskets: DataFrame, support: int) -> DataFrame:
 
 
 def subset_support(itemsets: DataFrame, baskets: DataFrame) -> DataFrame:
-    """``itemset, support``: baskets that contain every item of the given sets."""
-    wanted = itemsets.select("itemset").distinct().withColumn("size", F.size("itemset"))
-    items = wanted.select("itemset", "size", F.explode("itemset").alias("item"))
-    return (
-        items.join(baskets, "item")
-        .groupBy("itemset", "size", "basket").agg(F.count(F.lit(1)).alias("hits"))
-        .filter(F.col("hits") == F.col("size"))
-        .groupBy("itemset").agg(F.count(F.lit(1)).alias("support"))
+    """``itemset, support``: baskets that contain every item of the given sets.
+
+    A set begins with the baskets of its rarest item; only for them the others are looked up.
+    ``baskets`` are distinct (basket, item) rows.
+    """
+    items = itemsets.select("itemset").distinct().select("itemset", F.explode("itemset").alias("item"))
+    counted = items.join(item_counts(baskets), "item").groupBy("itemset").agg(
+        F.min_by("item", F.struct("support", "item")).alias("rare"), F.count(F.lit(1)).alias("known"))
+    begun = counted.filter(F.col("known") == F.size("itemset")).select(
+        "itemset", F.col("rare").alias("item"), F.array_remove("itemset", F.col("rare")).alias("others"))
+    met = begun.join(baskets, "item")
+    single = met.filter(F.size("others") == 0).select("itemset", "basket")
+    several = (
+        met.select("itemset", "basket", F.size("others").alias("left"), F.explode("others").alias("item"))
+        .join(baskets, ["basket", "item"])
+        .groupBy("itemset", "basket", "left").agg(F.count(F.lit(1)).alias("hits"))
+        .filter(F.col("hits") == F.col("left")).select("itemset", "basket")
     )
+    return single.unionByName(several).groupBy("itemset").agg(F.count(F.lit(1)).alias("support"))
 
 
 def pair_candidates(items: DataFrame) -> DataFrame:
@@ -114,13 +133,13 @@ def _split_heavy(
     """Rows of ordinary baskets, rows of the heavy ones, how many heavy ones, and
     whether all ordinary baskets are known to be small.
 
-    At most ``support - 1`` baskets are set apart: a frequent set then occurs in
-    an ordinary basket too. If there are more large baskets than that, the rest
-    stays and its pairs are made by many tasks.
+    At most half of ``support`` baskets are set apart: a frequent set then occurs in half as
+    many ordinary baskets, so that these still prune. If there are more large baskets than
+    that, the rest stays and its pairs are made by many tasks.
     """
-    heavy = hot_groups(baskets, "basket", HEAVY_BASKET_ITEMS, max(support - 1, 0)).select("basket")
+    heavy = hot_groups(baskets, "basket", HEAVY_BASKET_ITEMS, support // 2).select("basket")
     n = heavy.count()
-    small = n < support - 1
+    small = n == hot_groups(baskets, "basket", HEAVY_BASKET_ITEMS).count()
     if n == 0:
         return baskets, None, 0, small
     return (baskets.join(heavy, "basket", "left_anti"),
@@ -143,7 +162,7 @@ def _first_level(rows: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def _text_items(baskets: DataFrame) -> DataFrame:
-    return baskets.select("basket", F.col("item").cast("string").alias("item"))
+    return baskets.select("basket", F.col("item").cast("string").alias("item")).distinct()
 
 
 def apriori(baskets: DataFrame, support: int, max_k: int | None = None) -> DataFrame:
@@ -207,12 +226,38 @@ def candidate_report(baskets: DataFrame, support: int, max_k: int | None = None)
     )
 
 
+def local_itemsets(baskets: pd.Series, items: pd.Series, support: int, max_k: int | None = None) -> list[tuple]:
+    """Sorted itemsets in at least ``support`` of a chunk's baskets.
+
+    An itemset's baskets are the bits of one integer; longer sets come from two sets that
+    differ in their last item only.
+    """
+    number = {b: i for i, b in enumerate(dict.fromkeys(baskets))}
+    where: dict[tuple, int] = {}
+    for basket, item in zip(baskets, items):
+        where[item,] = where.get((item,), 0) | 1 << number[basket]
+    level = sorted((s, bits) for s, bits in where.items() if bits.bit_count() >= support)
+    found = [s for s, _ in level]
+    while level and (max_k is None or len(level[0][0]) < max_k):
+        longer = []
+        for i, (s, bits) in enumerate(level):
+            for other, more in level[i + 1:]:
+                if other[:-1] != s[:-1]:
+                    break
+                if (bits & more).bit_count() >= support:
+                    longer.append(((*s, other[-1]), bits & more))
+        level = longer
+        found += [s for s, _ in level]
+    return found
+
+
 def son(baskets: DataFrame, support: int, chunks: int = 8, max_k: int | None = None) -> DataFrame:
     """``k, itemset, support``: the same result by two passes over chunks of baskets.
 
-    Pass 1 finds the sets frequent inside any chunk at proportional support; a
-    globally frequent set is frequent in at least one chunk. Pass 2 counts these
-    candidates over all baskets. Heavy baskets take part in pass 2 only, and
+    Pass 1 finds the sets frequent inside any chunk at proportional support, each chunk
+    in one task's memory; a globally frequent set is frequent in at least one chunk. A chunk
+    has at most about CHUNK_ROWS rows, so there may be more of them than asked for. Pass 2
+    counts these candidates over all baskets. Heavy baskets take part in pass 2 only, and
     pass 1 asks for correspondingly less.
     """
     baskets = _text_items(baskets)
@@ -221,27 +266,19 @@ def son(baskets: DataFrame, support: int, chunks: int = 8, max_k: int | None = N
     )
     light, heavy, n_heavy, small = _split_heavy(pruned, support)
     need = max(support - n_heavy, 1)
-    chunk = F.pmod(F.xxhash64("basket"), F.lit(chunks)).cast("int")
-    parted = light.withColumn("chunk", chunk)
-    sizes = cut_lineage(parted.groupBy("chunk").agg(F.countDistinct("basket").alias("size")))
-    total = sizes.agg(F.sum("size")).first()[0] or 1
-    bars = sizes.select("chunk", F.ceil(F.lit(need) * F.col("size") / total - 1e-9).alias("bar"))
-
-    local, k = _first_level(parted, ["chunk", "basket"]), 1
-    candidates: list[DataFrame] = []
-    while max_k is None or k <= max_k:
-        if k > 1:
-            local = _grow(local, ["chunk", "basket"], small)
-        found = cut_lineage(
-            local.groupBy("chunk", "prefix", "last").agg(F.count(F.lit(1)).alias("n"))
-            .join(F.broadcast(bars), "chunk").filter(F.col("n") >= F.col("bar"))
-            .select("chunk", _itemset())
-        )
-        if found.isEmpty():
-            break
-        candidates.append(found.select("itemset").distinct())
-        local = cut_lineage(_keep(local, found, ["chunk"]))
-        k += 1
+    rows, total = light.count(), light.select("basket").distinct().count()
+    parted = light.withColumn("chunk", F.pmod(
+        F.xxhash64("basket"), F.lit(max(chunks, -(-rows // CHUNK_ROWS)))).cast("int"))
+
+    def local(frame: pd.DataFrame) -> pd.DataFrame:
+        share = need * frame["basket"].nunique() / max(total, 1)
+        found = local_itemsets(frame["basket"], frame["item"], max(math.ceil(share - 1e-9), 1), max_k)
+        return pd.DataFrame({"k": [len(x) for x in found], "itemset": [list(x) for x in found]})
+
+    found = cut_lineage(
+        parted.groupBy("chunk").applyInPandas(local, "k int, itemset array<string>").distinct())
+    deepest = found.agg(F.max("k")).first()[0] or 0
+    candidates = [found.filter(F.col("k") == k).select("itemset") for k in range(1, deepest + 1)]
 
     everywhere, levels = _first_level(light, ["basket"]), []
     for k, wanted in enumerate(candidates, start=1):

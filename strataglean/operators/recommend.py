@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from strataglean.functions.text import (
@@ -17,6 +18,7 @@ from strataglean.skew import hot_groups, pairs_in_small_groups, spread_join
 # Users with more rated items than this do not emit their item pairs.
 HEAVY_USER_ITEMS = 1000
 
+# The names of the 19 features in their order.
 FEATURES = [
     "average_stars", "stars", "interaction", "review_count", "price_range", "outdoor_seating",
     "alcohol", "wifi", "is_restaurant", "is_food", *AMBIENCE, "user_review_count",
@@ -25,17 +27,13 @@ FEATURES = [
 
 
 def latest_ratings(ratings: DataFrame) -> DataFrame:
-    """One rating per (user, item): the latest day, then the highest stars.
+    """One rating per (user, item): the latest day, then the highest stars, of their own type.
 
-    Day and stars (whole, below 1024) become one number, so that this is a plain
-    hash aggregate with a map-side maximum. A row without a day counts as oldest.
+    A row without a day counts as oldest, without stars as lowest. The maximum is
+    taken in the tasks before the shuffle.
     """
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, F.col("day").cast("timestamp_ntz"))
-    rank = F.coalesce(micros, F.lit(-(1 << 52))) * 1024 + F.col("stars")
-    return ratings.groupBy("user_id", "item_id").agg(F.max(rank).alias("_rank")).select(
-        "user_id", "item_id", F.pmod("_rank", F.lit(1024)).cast("int").alias("stars")
-    )
+    best = ratings.groupBy("user_id", "item_id").agg(F.max(F.struct("day", "stars")).alias("_best"))
+    return best.select("user_id", "item_id", F.col("_best.stars").alias("stars"))
 
 
 def averages(ratings: DataFrame, key: str) -> DataFrame:
@@ -59,8 +57,20 @@ def item_pairs_for(latest: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+# Stars that are no whole numbers are counted in hundredths; Pearson does not mind the scale.
+STAR_PARTS = 100
+
+
+def _whole(latest: DataFrame) -> DataFrame:
+    """``latest`` with stars as whole numbers, so that sums are exact in any order."""
+    if isinstance(latest.schema["stars"].dataType, IntegralType):
+        return latest.withColumn("stars", F.col("stars").cast("bigint"))
+    parts = F.col("stars") * STAR_PARTS
+    return latest.withColumn("stars", F.when(F.abs(parts - F.round(parts)) < 1e-6, F.round(parts).cast("bigint"))
+                             .when(parts.isNotNull(), F.raise_error(F.lit("stars have more than two decimals")).cast("bigint")))
+
+
 def _moments(x: Column, y: Column) -> list[Column]:
-    x, y = x.cast("bigint"), y.cast("bigint")
     return [
         F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
         F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"),
@@ -72,10 +82,13 @@ def co_rating_moments(
 ) -> DataFrame:
     """Integer moments over the users who rated both items of each given pair.
 
-    Users with few items emit their item pairs. The few heavy users would emit
-    quadratically many; for them the wanted pairs are looked up instead.
+    Only items of wanted pairs take part. Users with few of them emit their item pairs.
+    The few heavy users would emit quadratically many; for them the wanted pairs are
+    looked up instead.
     """
     key = ["item_1", "item_2"]
+    asked = pairs.select(F.explode(F.array("item_1", "item_2")).alias("item_id")).distinct()
+    latest = _whole(latest.join(asked, "item_id", "left_semi"))
     heavy = hot_groups(latest, "user_id", heavy_items).select("user_id")
     any_heavy = not heavy.isEmpty()
     light = latest.join(heavy, "user_id", "left_anti") if any_heavy else latest
@@ -108,14 +121,22 @@ def co_rating_moments(
 
 def pearson_column() -> Column:
     """Pearson from integer moments; 0 where one side does not vary."""
-    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    def big(name: str) -> Column:  # products of sums leave 64 bits long before 38 digits
+        return F.col(name).cast("decimal(19,0)")
+
+    cov = big("n") * big("sxy") - big("sx") * big("sy")
+    vx = big("n") * big("sxx") - big("sx") * big("sx")
+    vy = big("n") * big("syy") - big("sy") * big("sy")
     return F.when((vx == 0) | (vy == 0), F.lit(0.0)).otherwise(
-        cov / (F.sqrt(vx.cast("double")) * F.sqrt(vy.cast("double")))
+        cov.cast("double") / (F.sqrt(vx.cast("double")) * F.sqrt(vy.cast("double")))
     )
 
 
+def z_score(value: Column, mean: Column, deviation: Column) -> Column:
+    """Distance from the mean in standard deviations; 0 where nothing varies."""
+    return F.coalesce((value - mean) / F.nullif(deviation, F.lit(0.0)), F.lit(0.0))
+
+
 def item_pearson(latest: DataFrame, pairs: DataFrame) -> DataFrame:
     """``item_1, item_2, n, pearson`` for the given pairs with at least one co-rating user."""
     return co_rating_moments(latest, pairs).select("item_1", "item_2", "n", pearson_column().alias("pearson"))
@@ -276,34 +297,38 @@ def feature_matrix(
         .join(attributes, "item_id", "left")
         .join(spoken, ["user_id", "item_id"], "left")
         .withColumn("interaction",
-                    F.coalesce((F.col("average_stars") * F.col("stars") - F.col("mean"))
-                               / F.nullif(F.col("sd"), F.lit(0.0)), F.lit(0.0)))
+                    z_score(F.col("average_stars") * F.col("stars"), F.col("mean"), F.col("sd")))
         .fillna(0, zero).fillna(-1, ["price_range"])
     )
     return joined.select(*pairs.columns, *[F.col(c).cast("double").alias(c) for c in FEATURES])
 
 
 def fit_boosted_trees(
-    train: DataFrame, label: str, rounds: int = 100, depth: int = 5, step: float = 0.2, seed: int = 1
+    train: DataFrame, label: str, features: list[str] | None = None, rounds: int = 500, depth: int = 5,
+    step: float = 0.2, seed: int = 1
 ) -> GBTRegressionModel:
-    """Boosted regression trees over the feature columns."""
+    """Boosted regression trees over the feature columns, all 19 unless others are named."""
     shared_root(train.sparkSession)
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(train)
+    assembled = VectorAssembler(inputCols=features or FEATURES, outputCol="features").transform(train)
     return GBTRegressor(
         labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=step,
         seed=seed, checkpointInterval=10,
     ).fit(assembled.select("features", F.col(label).cast("double").alias(label)))
 
 
-def predict_boosted_trees(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+def predict_boosted_trees(
+    model: GBTRegressionModel, rows: DataFrame, features: list[str] | None = None
+) -> DataFrame:
+    assembled = VectorAssembler(inputCols=features or FEATURES, outputCol="features").transform(rows)
     return model.transform(assembled).select("user_id", "item_id", "prediction")
 
 
-def feature_importance(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
+def feature_importance(
+    model: GBTRegressionModel, spark: SparkSession, features: list[str] | None = None
+) -> DataFrame:
     """``feature, importance``; the model holds one number per feature."""
-    weights = [(name, float(w)) for name, w in zip(FEATURES, model.featureImportances.toArray())]
-    return df.sparkSession.createDataFrame(weights, "feature string, importance double")
+    weights = [(name, float(w)) for name, w in zip(features or FEATURES, model.featureImportances.toArray())]
+    return spark.createDataFrame(weights, "feature string, importance double")
 
 
 def hybrid_blend(first: DataFrame, second: DataFrame, w_first: float, w_second: float) -> DataFrame:

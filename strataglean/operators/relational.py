@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataglean.functions.hashing import md5_int
+
 
 def overview_metrics(reviews: DataFrame, year: int) -> DataFrame:
     """One row: rows, rows of a year, distinct users and items, mean stars."""
@@ -47,20 +49,25 @@ def group_mean_by_lookup(
     )
 
 
-def partition_profile(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """``partition, n_items``: how the counted keys are spread, by default or over ``partitions``.
+def partition_profile(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """``n_partition, partition, n_items``: how rows are spread, empty partitions included.
 
-    Keys are counted first, so a hot key moves as one row. The own placement
-    goes by the key's hash modulo 100.
+    By default that of ``df`` as it is; with ``partitions``, of its counted keys, placed by
+    their hash modulo 100. Keys are counted first, so a hot key moves as one row.
     """
-    counted = count_by_key(df, key)
-    placed = counted if partitions is None else counted.repartition(
-        partitions, F.pmod(F.hash("key"), F.lit(100)))
-    return (
+    if partitions is None:
+        placed, partitions = df, df.rdd.getNumPartitions()
+    else:
+        placed = count_by_key(df, key).repartitionById(
+            partitions, (md5_int(F.col("key")) % 100 % partitions).cast("int"))
+    found = (
         placed.select(F.spark_partition_id().alias("partition"))
-        .groupBy("partition")
-        .agg(F.count(F.lit(1)).alias("n_items"))
+        .groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
     )
+    every = df.sparkSession.range(partitions).withColumnRenamed("id", "partition")
+    return every.join(found, "partition", "left").select(
+        F.lit(partitions).cast("bigint").alias("n_partition"), "partition",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_items"))
 
 
 def having_min_size(pairs: DataFrame, group: str, member: str, more_than: int) -> DataFrame:

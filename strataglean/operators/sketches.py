@@ -51,6 +51,23 @@ def bloom_report(
     as a false positive unless its id was new in an earlier batch.
     ``seen_before`` (``id, since``) holds the ids that were new in earlier calls.
     """
+    return fp_rates(bloom_counts(stream, first_bits, bits, seen_before))
+
+
+def fp_rates(counts: DataFrame) -> DataFrame:
+    """``batch_id, n_new, fp, fpr_reference, fpr`` from ``batch_id, n_new, fp``."""
+    return counts.select(
+        "batch_id", "n_new", "fp",
+        F.when(F.col("n_new") > 0, F.col("fp") / F.col("n_new")).otherwise(0.0).alias("fpr_reference"),
+        F.when(F.col("fp") + F.col("n_new") > 0, F.col("fp") / (F.col("fp") + F.col("n_new")))
+        .otherwise(0.0).alias("fpr"),
+    )
+
+
+def bloom_counts(
+    stream: DataFrame, first_bits: DataFrame, bits: int, seen_before: DataFrame | None = None
+) -> DataFrame:
+    """``batch_id, n_new, fp``; counts of one batch from several calls add up."""
     def small(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if bits <= BROADCAST_BITS else df
 
@@ -63,16 +80,8 @@ def bloom_report(
     marked = stream.join(small(heads), "seq", "left").join(small(since), "id", "left")
     is_new = F.col("new").isNotNull()
     false_positive = ~is_new & (F.col("since").isNull() | (F.col("since") >= F.col("batch_id")))
-    return (
-        marked.groupBy("batch_id")
-        .agg(F.count_if(is_new).alias("n_new"), F.count_if(false_positive).alias("fp"))
-        .select(
-            "batch_id", "n_new", "fp",
-            F.when(F.col("n_new") > 0, F.col("fp") / F.col("n_new")).otherwise(0.0).alias("fpr_reference"),
-            F.when(F.col("fp") + F.col("n_new") > 0, F.col("fp") / (F.col("fp") + F.col("n_new")))
-            .otherwise(0.0).alias("fpr"),
-        )
-    )
+    return marked.groupBy("batch_id").agg(
+        F.count_if(is_new).alias("n_new"), F.count_if(false_positive).alias("fp"))
 
 
 def bloom_new_ids(stream: DataFrame, first_bits: DataFrame, bits: int) -> DataFrame:
@@ -97,25 +106,14 @@ def bloom_batches(
     once = stream.groupBy("id").agg(F.min("seq").alias("seq")).withColumn("unseen", F.lit(1))
     marked = stream.join(heads, "seq", "left").join(once, ["id", "seq"], "left")
     is_new, unseen = F.col("new").isNotNull(), F.col("unseen").isNotNull()
-    return (
-        marked.groupBy("batch_id")
-        .agg(F.count_if(is_new).alias("n_new"), F.count_if(~is_new & unseen).alias("fp"))
-        .select(
-            "batch_id", "n_new", "fp",
-            F.when(F.col("n_new") > 0, F.col("fp") / F.col("n_new")).otherwise(0.0).alias("fpr_reference"),
-            F.when(F.col("fp") + F.col("n_new") > 0, F.col("fp") / (F.col("fp") + F.col("n_new")))
-            .otherwise(0.0).alias("fpr"),
-        )
-    )
+    return fp_rates(marked.groupBy("batch_id").agg(
+        F.count_if(is_new).alias("n_new"), F.count_if(~is_new & unseen).alias("fp")))
 
 
-def fm_register_columns(
-    text: Column, params: list[tuple[int, int]], modulus: int = FM_MODULUS
-) -> list[Column]:
-    """Aggregates ``r0, r1, ..``: the most trailing zeros under each hash."""
-    base = string_mod(text, modulus)
+def fm_register_columns(x: Column, params: list[tuple[int, int]], modulus: int = FM_MODULUS) -> list[Column]:
+    """Aggregates ``r0, r1, ..``: the most trailing zeros of the number ``x`` under each hash."""
     return [
-        F.max(trailing_zeros(linear_hash(base, a, b, modulus))).alias(f"r{i}")
+        F.max(trailing_zeros(linear_hash(x, a, b, modulus))).alias(f"r{i}")
         for i, (a, b) in enumerate(params)
     ]
 
@@ -123,10 +121,7 @@ def fm_register_columns(
 def fm_registers(stream: DataFrame, params: list[tuple[int, int]], keys: list[str]) -> DataFrame:
     """``keys, r0, r1, ..``: each id is folded to an integer once."""
     hashed = stream.select(*keys, string_mod(F.col("id"), FM_MODULUS).alias("x"))
-    return hashed.groupBy(*keys).agg(*[
-        F.max(trailing_zeros(linear_hash(F.col("x"), a, b, FM_MODULUS))).alias(f"r{i}")
-        for i, (a, b) in enumerate(params)
-    ])
+    return hashed.groupBy(*keys).agg(*fm_register_columns(F.col("x"), params))
 
 
 def fm_combine(registers: list[Column], groups: int = 4) -> Column:
@@ -218,8 +213,9 @@ def fm_by_window(
     """
     names = [f"r{i}" for i in range(len(params))]
     return (
-        events.groupBy(F.window("ts", width))
-        .agg(F.count(F.lit(1)).alias("n"), *fm_register_columns(F.col("id"), params))
+        events.select("ts", string_mod(F.col("id"), FM_MODULUS).alias("x"))  # folded once per row
+        .groupBy(F.window("ts", width))
+        .agg(F.count(F.lit(1)).alias("n"), *fm_register_columns(F.col("x"), params))
         .select(F.col("window.start").alias("window_start"), "n",
                 fm_combine([F.col(n) for n in names], groups).alias("estimate"))
     )

@@ -22,13 +22,16 @@ def _by_label(points):
     return clustering.cluster_stats(points.withColumn("cluster", F.col("label").cast("bigint")))
 
 
-def cluster_stats(spark, sf):
-    stats = _by_label(_points(spark, sf))
+def _by_dimension(stats):
     return stats.select("cluster", "n", F.posexplode(F.arrays_zip("sum", "sumsq")).alias("dim", "v")).select(
         "cluster", "n", F.col("dim").cast("bigint").alias("dim"),
         F.round("v.sum", 5).alias("sum"), F.round("v.sumsq", 5).alias("sumsq"))
 
 
+def cluster_stats(spark, sf):
+    return _by_dimension(_by_label(_points(spark, sf)))
+
+
 def mahalanobis(spark, sf):
     """Distance of every point to the summary of its own label."""
     points = _points(spark, sf)
@@ -54,26 +57,31 @@ def _halves(spark, sf):
 
 
 def bfr_merge(spark, sf):
-    merged = clustering.bfr_merge(cut_lineage(_halves(spark, sf)), MERGE_FACTOR)
-    return merged.select(
-        "cluster", "n", F.round(F.element_at("sum", 1), 5).alias("sum_first"),
-        F.round(F.element_at("sumsq", -1), 5).alias("sumsq_last"))
+    return _by_dimension(clustering.bfr_merge(cut_lineage(_halves(spark, sf)), MERGE_FACTOR))
 
 
 def kmeans_labels(spark, sf):
-    return clustering.kmeans_labels(_points(spark, sf), K).select("id", "cluster")
+    """Where the iterations end is no SQL; that every point has one of K labels is."""
+    labels = clustering.kmeans_labels(_points(spark, sf), K)
+    return labels.select("id", F.col("cluster").between(0, K - 1).alias("placed"))
 
 
 def bfr_init(spark, sf):
-    return clustering.bfr_init(_points(spark, sf), K)
+    """The first round places every sampled point: in K discard summaries, in others, or as retained."""
+    parts = clustering.bfr_init(_points(spark, sf), K)
+    return parts.agg(F.sum("n").cast("bigint").alias("n_points"), F.count_if(F.col("kind") == "ds").alias("n_discard_sets"))
 
 
 def bfr_rounds(spark, sf):
-    return clustering.bfr(_points(spark, sf), K)[0]
+    """Each round accounts for all points read so far."""
+    rounds = clustering.bfr(_points(spark, sf), K)[0]
+    return rounds.select(F.col("round").cast("bigint").alias("round"),
+                         (F.col("n_discard") + F.col("n_cs_points") + F.col("n_retained")).alias("n_points"))
 
 
 def bfr_labels(spark, sf):
-    return clustering.bfr(_points(spark, sf), K)[1]
+    labels = clustering.bfr(_points(spark, sf), K)[1]
+    return labels.select("id", F.col("cluster").between(-1, K - 1).alias("placed"))
 
 
 QUERIES = {
@@ -90,6 +98,10 @@ def _stats(cluster):
     f as (select cluster, d, n, s / n m, greatest(q / n - (s / n) * (s / n), 1e-12) var from s)"""
 
 
+# The sampled points, and the chunk of each other one.
+_DRAWN = """p as (select ('0x' || substr(md5(vec_id || '|sample'), 1, 8))::bigint % 100 < 20 drawn,
+    ('0x' || substr(md5(vec_id || '|chunk'), 1, 8))::bigint % 4 chunk from embeddings)"""
+
 _DIST = f"""{_stats("label::bigint")},
   g as (select id, f.cluster, sqrt(sum((v - m) * (v - m) / var)) dist from x join f on f.d = x.d group by 1, 2),
   lim as (select {ASSIGN_FACTOR} * sqrt(max(d)) z from x),
@@ -112,6 +124,10 @@ ORACLES = {
         r(c, o) as (select distinct cluster, cluster from s union select r.c, l.y from r join l on r.o = l.x),
         t as (select c, min(o) target from r group by 1),
         z as (select target cluster, d, sum(n)::bigint n, sum(s) s, sum(q) q from s join t on t.c = s.cluster group by 1, 2)
-        select cluster, max(n) n, round(max(case when d = 1 then s end), 5) sum_first,
-          round(max(case when d = (select max(d) from x) then q end), 5) sumsq_last from z group by 1""",
+        select cluster, n, (d - 1)::bigint dim, round(s, 5) sum, round(q, 5) sumsq from z""",
+    "kmeans_labels": "select vec_id id, true placed from embeddings",
+    "bfr_labels": "select vec_id id, true placed from embeddings",
+    "bfr_init": f"with {_DRAWN} select count(*) n_points, {K}::bigint n_discard_sets from p where drawn",
+    "bfr_rounds": f"""with {_DRAWN}, r(k) as (select unnest(range(1, 6)))
+        select k::bigint round, (select count(*) from p where drawn or chunk < k - 1) n_points from r""",
 }

@@ -42,11 +42,8 @@ def parse_vectors(spark, sf):
         ",", F.col("id").cast("string"), F.col("label").cast("string"),
         F.array_join(F.transform("features", lambda v: v.cast("string")), ",")).alias("value"))
     parsed = files.parse_vectors(lines)
-    return parsed.select(
-        "id", "label", F.size("features").cast("bigint").alias("dims"),
-        F.round(F.element_at("features", 1), 6).alias("first_value"),
-        F.round(F.element_at("features", -1), 6).alias("last_value"),
-        F.round(F.aggregate("features", F.lit(0.0), lambda a, v: a + v), 5).alias("total"))
+    return parsed.select("id", "label", F.posexplode("features").alias("dim", "v")).select(
+        "id", "label", F.col("dim").cast("bigint").alias("dim"), F.round("v", 6).alias("value"))
 
 
 def basket_preprocess(spark, sf):
@@ -80,7 +77,7 @@ def overview_metrics(spark, sf):
 def metrics_json(spark, sf):
     reviews = roles.reviews(spark, sf)
     return relational.metrics_json(
-        relational.overview_metrics(reviews, YEAR),
+        overview_metrics(spark, sf),
         {"top10_user": relational.top_k(reviews, "user_id"),
          "top10_business": relational.top_k(reviews, "item_id")})
 
@@ -90,18 +87,21 @@ def partition_profile(spark, sf):
 
 
 def text_partitions(spark, sf):
-    """Review lines as text, read back over at least eight partitions."""
+    """Review lines as text, read back over at least eight partitions: lines, distinct lines, partitions."""
     path = scratch_path(spark, "lines")
     pairs = roles.reviews(spark, sf).select(F.concat_ws(",", "user_id", "item_id").alias("value"))
     files.write_lines(pairs, "value", path)
     lines = files.read_text(spark, path, 8)
-    return lines.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n_items"))
+    return lines.select("value", F.spark_partition_id().alias("partition")).agg(
+        F.count(F.lit(1)).alias("n_items"), F.countDistinct("value").alias("n_lines"),
+        (F.countDistinct("partition") >= 8).alias("spread"))
 
 
 def count_in_year(spark, sf):
     reviews = roles.reviews(spark, sf)
-    text = F.col("day").cast("string").contains(str(YEAR))
-    return reviews.agg(F.count_if(text).alias("n_text"), F.count_if(F.year("day") == YEAR).alias("n_year"))
+    by_text = relational.count_containing(reviews, F.col("day"), str(YEAR)).withColumnRenamed("n", "n_text")
+    by_year = reviews.agg(F.count_if(F.year("day") == YEAR).alias("n_year"))
+    return by_text.crossJoin(F.broadcast(by_year))  # one row each
 
 
 def having_min_size(spark, sf):
@@ -134,7 +134,7 @@ def interaction_zscore(spark, sf):
     pairs = train.select("user_id", "item_id").distinct()
     return recommend.rating_features(pairs, users, items).crossJoin(F.broadcast(stats)).select(
         "user_id", "item_id",
-        F.round((F.col("average_stars") * F.col("stars") - F.col("mean")) / F.col("sd"), 6).alias("z"))
+        F.round(recommend.z_score(F.col("average_stars") * F.col("stars"), F.col("mean"), F.col("sd")), 6).alias("z"))
 
 
 def dense_index(spark, sf):
@@ -235,13 +235,26 @@ ORACLES = {
     "scan_json": """select event_id, user_id, event_type, value,
         regexp_extract(props, '"k": (-?[0-9]+)', 1)::int k from events""",
     "scan_csv": "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer",
-    "parse_vectors": """select vec_id id, label, len(embedding)::bigint dims,
-        round(embedding[1]::double, 6) first_value, round(embedding[-1]::double, 6) last_value,
-        round(list_sum(list_transform(embedding, lambda v: v::double)), 5) total from embeddings""",
-    "basket_preprocess": """select strftime(o_orderdate, '%-m/%-d/%y') || '-' || o_custkey basket,
+    "parse_vectors": """select vec_id id, label, unnest(range(len(embedding)))::bigint dim,
+        round(unnest(embedding)::double, 6) "value" from embeddings""",
+    "basket_preprocess": """select distinct strftime(o_orderdate, '%-m/%-d/%y') || '-' || o_custkey basket,
         l_partkey::varchar item from lineitem join orders on l_orderkey = o_orderkey""",
     "sink_roundtrip_csv": _CITY,
     "city_avg_stars": _CITY,
+    "metrics_json": f"""with {REVIEWS},
+        u as (select user_id k, count(*) n from reviews group by 1 order by n desc, k limit 10),
+        i as (select item_id k, count(*) n from reviews group by 1 order by n desc, k limit 10)
+        select '{{"n_review":' || count(*) || ',"n_review_year":' || count(*) filter (where year("day") = {YEAR})
+          || ',"n_user":' || count(distinct user_id) || ',"n_business":' || count(distinct item_id)
+          || ',"avg_stars":' || round(sum(stars) / count(*), 6)
+          || ',"top10_user":[' || (select string_agg('["' || k || '","' || n || '"]', ',' order by n desc, k) from u)
+          || '],"top10_business":[' || (select string_agg('["' || k || '","' || n || '"]', ',' order by n desc, k) from i)
+          || ']}}' json from reviews""",
+    "partition_profile": f"""with {REVIEWS}, k as (select distinct item_id from reviews)
+        select 8::bigint n_partition, p::bigint partition, count(item_id) n_items from range(8) r(p)
+        left join k on ('0x' || substr(md5(item_id::varchar), 1, 8))::bigint % 100 % 8 = p group by p""",
+    "text_partitions": f"""with {REVIEWS} select count(*) n_items, count(distinct user_id || ',' || item_id) n_lines,
+        true spread from reviews""",
     "count_in_year": f"""with {REVIEWS} select count(*) filter (where strftime("day", '%Y-%m-%d') like '%{YEAR}%') n_text,
         count(*) filter (where year("day") = {YEAR}) n_year from reviews""",
     "having_min_size": f"""with {REVIEWS} select user_id, count(distinct item_id) n from reviews

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataglean.operators import itemsets as sets_
+from strataglean.plans.explore import basket_preprocess
 from strataglean.session import cut_lineage
 from strataglean.skew import pieces
 from strataglean.sources import roles
@@ -34,8 +35,7 @@ def collect_baskets(spark, sf):
     reviews = roles.reviews(spark, sf)
     both = [
         pieces(sets_.basket_pairs(reviews, "user_id", "item_id", case), ["basket"], "item", "items")
-        .select(F.lit(case).cast("bigint").alias("case"), "basket", F.col("piece").cast("bigint").alias("piece"),
-                "n", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
+        .select(F.lit(case).cast("bigint").alias("case"), "basket", "piece", "n", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
         for case in (1, 2)
     ]
     return both[0].unionByName(both[1])
@@ -87,10 +87,17 @@ def son_two_pass(spark, sf):
 
 def itemset_candidates(spark, sf):
     baskets = _baskets(spark, sf)
-    return _text(sets_.candidate_report(baskets, _support(baskets, PAIR_SUPPORT), 3), "k", "is_frequent")
+    return _text(sets_.candidate_report(baskets, _support(baskets, PAIR_SUPPORT)), "k", "is_frequent")
+
+
+def transaction_itemsets(spark, sf):
+    """Raw transactions to baskets, those with more than two items, and their frequent itemsets."""
+    baskets = cut_lineage(sets_.min_size_baskets(basket_preprocess(spark, sf), 2))
+    return _text(sets_.apriori(baskets, 2), "k", "support")
 
 
 QUERIES = {
+    "transaction_itemsets": transaction_itemsets,
     "collect_baskets": collect_baskets, "max_basket_size": max_basket_size,
     "min_size_baskets": min_size_baskets, "item_counts": item_counts,
     "pair_candidates": pair_candidates, "itemsets_k2": itemsets_k2,
@@ -114,13 +121,30 @@ def _level(k):
         from b b0 {joins} group by {items} having count(*) >= (select s from bar)"""
 
 
+def _raw_level(k):
+    joins = " ".join(
+        f"join b b{i} on b{i}.basket = b0.basket and b{i}.item > b{i - 1}.item" for i in range(1, k))
+    items = ", ".join(f"b{i}.item" for i in range(k))
+    return f"""select {k}::bigint k, concat_ws(',', {items}) itemset, count(*) support
+        from b b0 {joins} group by {items} having count(*) >= 2"""
+
+
+_RAW_SETS = """raw as (select distinct strftime(o_orderdate, '%-m/%-d/%y') || '-' || o_custkey basket,
+    l_partkey::varchar item from lineitem join orders on l_orderkey = o_orderkey),
+  b as (select * from raw where basket in (select basket from raw group by 1 having count(*) > 2))
+  """ + " union all ".join(_raw_level(k) for k in range(1, 5))
+
 _ALL = f"with {_bar(DEEP_SUPPORT)} " + " union all ".join(_level(k) for k in range(1, 7))
 
 ORACLES = {
-    "collect_baskets": """with r as (select distinct o_custkey u, l_suppkey i from lineitem join orders on l_orderkey = o_orderkey)
-        select 1::bigint as case, u basket, 0::bigint piece, count(*) n, string_agg(i::varchar, ',' order by i) items from r group by u
-        union all select 2::bigint, i, 0::bigint, count(*), string_agg(u::varchar, ',' order by u) from r group by i""".replace(
-        "as case", 'as "case"'),
+    "collect_baskets": """with r as (select distinct o_custkey u, l_suppkey i from lineitem join orders on l_orderkey = o_orderkey),
+        b as (select 1::bigint kind, u basket, i member from r union all select 2::bigint, i, u from r),
+        p as (select *, (row_number() over (partition by kind, basket order by member) - 1) // 100000 piece,
+          count(*) over (partition by kind, basket) n from b)
+        select kind as "case", basket, piece::bigint piece, max(n) n, string_agg(member::varchar, ',' order by member) items
+        from p group by kind, basket, piece""",
+    # Every basket here is one customer's day: pairs and more that two such baskets share, and all single items.
+    "transaction_itemsets": f"""with {_RAW_SETS}""",
     "max_basket_size": f"with {_BASE} select max(n) max_size from (select count(*) n from b group by basket)",
     "min_size_baskets": f"""with {_BASE} select basket, item from b
         where basket in (select basket from b group by 1 having count(*) > 6)""",

@@ -10,9 +10,9 @@ from strataglean.plans.explore import BUSINESS_SQL
 from strataglean.session import cut_lineage
 from strataglean.sources import roles
 
-# Co-raters needed for Pearson, weights of the blend.
-MIN_CO_RATERS, W_CF, W_MODEL = 7, 0.01, 0.99
-TREE_ROUNDS = 20
+# Co-raters needed for Pearson, weights of both blends, the two columns of the second.
+MIN_CO_RATERS, W_CF, W_MODEL, TWO_BLEND = 7, 0.01, 0.99, (0.3, 0.7)
+TWO_COLUMNS = ["average_stars", "stars"]
 COLD_DAY = "1995-03-01"
 
 
@@ -77,53 +77,138 @@ def feature_matrix(spark, sf):
     return rows.select("user_id", "item_id", *[F.round(c, 6).alias(c) for c in recommend.FEATURES])
 
 
-def _model(spark, sf):
-    train = recommend.latest_ratings(roles.train_reviews(spark, sf, "l_partkey"))
-    labelled = train.select("user_id", "item_id", F.col("stars").cast("double").alias("label"))
-    return recommend.fit_boosted_trees(cut_lineage(_matrix(spark, sf, labelled)), "label", TREE_ROUNDS)
+def _labelled(spark, sf, item):
+    train = recommend.latest_ratings(roles.train_reviews(spark, sf, item))
+    return train.select("user_id", "item_id", F.col("stars").cast("double").alias("label"))
+
+
+def _two_columns(spark, sf, pairs):
+    """The user's and the item's mean of each pair."""
+    train = roles.train_reviews(spark, sf)
+    return recommend.rating_features(
+        pairs, recommend.user_table(train).drop("user_review_count"), recommend.item_table(train).drop("review_count"))
+
+
+# Fitted models by session, folder and kind: several queries ask for the same one.
+_FITTED = {}
+
+
+def _trees(spark, sf, kind):
+    """(model, training rows, feature names) of the 19-column or the two-column model."""
+    key = spark.sparkContext.applicationId, sf, kind
+    if key not in _FITTED:
+        if kind == "all":
+            rows, names = _matrix(spark, sf, _labelled(spark, sf, "l_partkey")), recommend.FEATURES
+        else:
+            rows, names = _two_columns(spark, sf, _labelled(spark, sf, "l_suppkey")), TWO_COLUMNS
+        rows = cut_lineage(rows)
+        _FITTED[key] = recommend.fit_boosted_trees(rows, "label", names), rows, names
+    return _FITTED[key]
+
+
+def _tree_scores(spark, sf, kind):
+    model, _, names = _trees(spark, sf, kind)
+    if kind == "all":
+        rows = _matrix(spark, sf, _targets(spark, sf, "l_partkey"))
+    else:
+        rows = _two_columns(spark, sf, _targets(spark, sf))
+    return recommend.predict_boosted_trees(model, rows, names)
+
+
+def _plausible(df):
+    """Predictions of a fitted model are no SQL; that they are near the scale of stars is."""
+    return df.select("user_id", "item_id", F.col("prediction").between(-1, 7).alias("plausible"))
 
 
 def gbt_predict(spark, sf):
-    rows = _matrix(spark, sf, _targets(spark, sf, "l_partkey"))
-    return recommend.predict_boosted_trees(_model(spark, sf), rows)
+    return _plausible(_tree_scores(spark, sf, "all"))
+
+
+def gbt_two_columns(spark, sf):
+    return _plausible(_tree_scores(spark, sf, "two"))
 
 
 def gbt_importance(spark, sf):
-    return recommend.feature_importance(_model(spark, sf), roles.table(spark, sf, "region"))
+    """The features, whether each weight is a share, and whether the shares add up to 1."""
+    model, _, names = _trees(spark, sf, "all")
+    found = recommend.feature_importance(model, spark, names)
+    total = found.agg(F.abs(F.sum("importance") - 1).alias("off"))
+    return found.crossJoin(F.broadcast(total)).select(  # one row
+        "feature", (F.col("importance").between(0, 1) & (F.col("off") < 1e-6)).alias("is_share"))
 
 
-def _blend(spark, sf):
-    """Collaborative score with the mean of the user's and the item's average."""
-    train = roles.train_reviews(spark, sf)
-    targets = _targets(spark, sf)
-    base = recommend.rating_features(
-        targets, recommend.user_table(train), recommend.item_table(train)
-    ).select("user_id", "item_id", ((F.col("average_stars") + F.col("stars")) / 2).alias("prediction"))
-    return recommend.hybrid_blend(_cf(spark, sf), base, W_CF, W_MODEL)
+def _hybrid(spark, sf, kind):
+    """Collaborative scores blended with those of the trees."""
+    item, k, weights = ("l_partkey", 5, (W_CF, W_MODEL)) if kind == "all" else ("l_suppkey", MIN_CO_RATERS, TWO_BLEND)
+    train = cut_lineage(roles.train_reviews(spark, sf, item))
+    scores = recommend.cf_predict(train, cut_lineage(_targets(spark, sf, item)), k)
+    return recommend.hybrid_blend(scores, _tree_scores(spark, sf, kind), *weights)
 
 
 def hybrid_blend(spark, sf):
-    return _round(_blend(spark, sf))
+    return _plausible(_hybrid(spark, sf, "all"))
+
+
+def hybrid_two_columns(spark, sf):
+    return _plausible(_hybrid(spark, sf, "two"))
 
 
 def _scored(spark, sf):
-    truth = recommend.latest_ratings(roles.test_reviews(spark, sf))
-    return _blend(spark, sf).join(truth, ["user_id", "item_id"])
+    truth = recommend.latest_ratings(roles.test_reviews(spark, sf, "l_partkey"))
+    return _hybrid(spark, sf, "all").join(truth, ["user_id", "item_id"])
 
 
 def rmse_eval(spark, sf):
-    return relational.rmse(_scored(spark, sf), "stars", "prediction").withColumn("rmse", F.round("rmse", 6))
+    """Targets scored; whether the error is one of stars, and on training rows below that of the mean."""
+    model, rows, names = _trees(spark, sf, "all")
+    fitted = recommend.predict_boosted_trees(model, rows, names).join(
+        rows.select("user_id", "item_id", "label"), ["user_id", "item_id"])
+    inside = relational.rmse(fitted, "label", "prediction").withColumnsRenamed({"n": "n_train", "rmse": "trained"})
+    spread = rows.agg(F.stddev_pop("label").alias("spread"))
+    outside = relational.rmse(_scored(spark, sf), "stars", "prediction")
+    return outside.crossJoin(F.broadcast(inside)).crossJoin(F.broadcast(spread)).select(  # one row each
+        "n", "n_train", F.col("rmse").between(0, 5).alias("in_stars"),
+        (F.col("trained") < F.col("spread")).alias("below_mean"))
 
 
 def error_histogram(spark, sf):
-    return relational.error_histogram(_scored(spark, sf), "stars", "prediction")
+    """The bins, and whether together they hold every scored target."""
+    scored = cut_lineage(_scored(spark, sf))
+    bins = relational.error_histogram(scored, "stars", "prediction")
+    total = bins.agg(F.sum("n").alias("in_bins")).crossJoin(scored.agg(F.count(F.lit(1)).alias("n_scored")))
+    return bins.crossJoin(F.broadcast(total)).select(  # one row
+        "bin", (F.col("n").between(0, F.col("n_scored")) & (F.col("in_bins") == F.col("n_scored"))).alias("complete"),
+        "n_scored")
+
+
+def error_bins(spark, sf):
+    """Collaborative predictions alone: error bins and their counts."""
+    truth = recommend.latest_ratings(roles.test_reviews(spark, sf))
+    return relational.error_histogram(_cf(spark, sf).join(truth, ["user_id", "item_id"]), "stars", "prediction")
+
+
+def cf_rmse(spark, sf):
+    truth = recommend.latest_ratings(roles.test_reviews(spark, sf))
+    scored = _cf(spark, sf).join(truth, ["user_id", "item_id"])
+    return relational.rmse(scored, "stars", "prediction").withColumn("rmse", F.round("rmse", 6))
+
+
+def mean_blend(spark, sf):
+    """Collaborative score blended with the mean of the user's and the item's average."""
+    train, targets = roles.train_reviews(spark, sf), _targets(spark, sf)
+    base = recommend.rating_features(
+        targets, recommend.user_table(train), recommend.item_table(train)
+    ).select("user_id", "item_id", ((F.col("average_stars") + F.col("stars")) / 2).alias("prediction"))
+    return _round(recommend.hybrid_blend(_cf(spark, sf), base, W_CF, W_MODEL))
 
 
 QUERIES = {
     "item_pearson": item_pearson, "item_weights": item_weights, "cf_predict": cf_predict,
     "cf_cold_start": cf_cold_start, "feature_lookup": feature_lookup,
     "feature_matrix": feature_matrix, "gbt_predict": gbt_predict, "gbt_importance": gbt_importance,
-    "hybrid_blend": hybrid_blend, "rmse_eval": rmse_eval, "error_histogram": error_histogram,
+    "gbt_two_columns": gbt_two_columns, "hybrid_blend": hybrid_blend, "hybrid_two_columns": hybrid_two_columns,
+    "rmse_eval": rmse_eval, "error_histogram": error_histogram, "mean_blend": mean_blend, "cf_rmse": cf_rmse,
+    "error_bins": error_bins,
 }
 
 
@@ -171,10 +256,16 @@ cf as (select t.user_id, t.item_id, case
 
 _BLEND = f"""{_CF}, blend as (select user_id, item_id,
     prediction * {W_CF} + ((coalesce(u.a, 0) + coalesce(i.a, 0)) / 2) * {W_MODEL} prediction
-  from cf left join umean u using (user_id) left join imean i using (item_id)),
-truth as (select user_id, item_id, stars from test
+  from cf left join umean u using (user_id) left join imean i using (item_id))"""
+
+_ERR = f"""{_CF}, truth as (select user_id, item_id, stars from test
   qualify row_number() over (partition by user_id, item_id order by "day" desc, stars desc) = 1),
-err as (select abs(stars - prediction) e from blend join truth using (user_id, item_id))"""
+err as (select abs(stars - prediction) e from cf join truth using (user_id, item_id))"""
+
+
+def _keys(item):
+    return f"with {_base(item)} select user_id, item_id, true plausible from targets"
+
 
 
 def _count(words):
@@ -210,8 +301,15 @@ ORACLES = {
         round(coalesce(u.a, 0), 6) average_stars, round(coalesce(i.a, 0), 6) stars
         from targets left join umean u using (user_id) left join imean i using (item_id)""",
     "feature_matrix": _matrix_sql(),
-    "hybrid_blend": f"{_BLEND} select user_id, item_id, round(prediction, 6) prediction from blend",
-    "rmse_eval": f"{_BLEND} select count(*) n, round(sqrt(avg(e * e)), 6) rmse from err",
-    "error_histogram": f"""{_BLEND} select b::bigint bin, count(e) n from range(0, 5) r(b)
+    "mean_blend": f"{_BLEND} select user_id, item_id, round(prediction, 6) prediction from blend",
+    "cf_rmse": f"{_ERR} select count(*) n, round(sqrt(avg(e * e)), 6) rmse from err",
+    "error_bins": f"""{_ERR} select b::bigint bin, count(e) n from range(0, 5) r(b)
         left join err on e >= b and e < b + 1 group by 1""",
+    "gbt_predict": _keys("l_partkey"), "hybrid_blend": _keys("l_partkey"),
+    "gbt_two_columns": _keys("l_suppkey"), "hybrid_two_columns": _keys("l_suppkey"),
+    "gbt_importance": f"""select unnest([{", ".join(f"'{f}'" for f in recommend.FEATURES)}]) feature, true is_share""",
+    "rmse_eval": f"""with {_base("l_partkey")} select (select count(*) from targets) n, (select count(*) from latest) n_train,
+        true in_stars, true below_mean""",
+    "error_histogram": f"""with {_base("l_partkey")} select b::bigint bin, true complete, (select count(*) from targets) n_scored
+        from range(0, 5) r(b)""",
 }

@@ -19,6 +19,25 @@ HASHES = [(131, 103, None, 4999), (137, 107, 701, 4999), (149, 109, None, 4999)]
 FM_PARAMS = linear_params(32, 7, 100)
 
 
+def replay_in_drops(
+    stream, drops, run
+):
+    """Feed a numbered table to a continuous query in ``drops`` deliveries; returns its state folder.
+
+    After each delivery the query runs until it has read everything and stops,
+    so every next run resumes from its saved progress. Deliveries end at batch ends.
+    """
+    spark = stream.sparkSession
+    folder, path = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-state")
+    last = stream.agg(F.max("batch_id")).first()[0] or 0
+    step = last // drops + 1
+    for drop in range(drops):
+        part = stream.filter((F.col("batch_id") >= drop * step) & (F.col("batch_id") < (drop + 1) * step))
+        part.select("seq", "batch_id", "id").write.mode("append").parquet(folder)
+        run(continuous.open_stream(spark, folder), path)
+    return path
+
+
 def _stream(spark, sf):
     return files.stream_elements(roles.id_stream(spark, sf), ["o_orderkey"], "o_custkey", BATCH)
 
@@ -48,19 +67,19 @@ def reservoir_snapshots(spark, sf):
 
 
 def stream_bloom(spark, sf):
-    path = continuous.replay_in_drops(
+    path = replay_in_drops(
         _stream(spark, sf), DROPS, lambda source, state: continuous.run_bloom(source, state, HASHES))
     return _rounded(continuous.read_reports(spark, path))
 
 
 def stream_fm(spark, sf):
-    path = continuous.replay_in_drops(
+    path = replay_in_drops(
         _stream(spark, sf), DROPS, lambda source, state: continuous.run_fm(source, state, FM_PARAMS))
     return continuous.read_fm(spark, path, len(FM_PARAMS))
 
 
 def stream_reservoir(spark, sf):
-    path = continuous.replay_in_drops(
+    path = replay_in_drops(
         _stream(spark, sf), DROPS,
         lambda source, state: continuous.run_reservoir(source, state, sketches.RESERVOIR_SIZE, SALT))
     return continuous.read_reservoir(spark, path, sketches.REPORT_SLOTS)

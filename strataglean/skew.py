@@ -134,15 +134,19 @@ def pairs_within(
 
 
 def hot_groups(df: DataFrame, key: str, rows: int, at_most: int | None = None) -> DataFrame:
-    """``key, n`` of groups with more than ``rows`` rows, the largest ``at_most`` of them.
+    """``key, n`` of groups with more than ``rows`` rows, ``at_most`` of them, largest first.
 
-    Sorting is needed only if there are more than allowed; ``at_most`` may be a
-    support of many millions, the hot groups are at most a ``rows``-th of the input.
+    If there are more than allowed, the bar on their size rises until there are not; the
+    bar is found from the number of groups per size, nothing is sorted.
     """
     hot = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows))
     if at_most is None or hot.count() <= at_most:
         return hot
-    return cut_lineage(hot.orderBy(F.desc("n"), key).limit(at_most))
+    sizes = hot.groupBy("n").agg(F.count(F.lit(1)).alias("groups"))
+    largest = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bar = sizes.withColumn("upto", F.sum("groups").over(largest)).filter(F.col("upto") <= at_most).agg(
+        F.min("n").alias("bar"))  # no row if even the largest size has too many
+    return cut_lineage(hot.join(F.broadcast(bar), F.col("n") >= F.col("bar")).select(key, "n"))
 
 
 def co_occurrence(
@@ -249,16 +253,18 @@ def pieces(
 ) -> DataFrame:
     """Sorted member arrays per group: ``keys, piece, n, out``.
 
-    A group larger than ``piece_rows`` comes as several rows, so that no array
-    grows without bound. Rows have to be distinct in (keys, member).
+    ``n`` is the size of the whole group. Piece p holds the members with ranks from
+    p * ``piece_rows`` on, so the pieces in order concatenate to the sorted group and no
+    array grows without bound. Rows have to be distinct in (keys, member).
     """
-    parted = split_groups(df.select(*keys, member), keys, member, piece_rows)
+    numbered = cut_lineage(dense_number(df.select(*keys, member), [*keys, member], "_no", 0))
+    whole = numbered.groupBy(*keys).agg(F.min("_no").alias("_first"), F.count(F.lit(1)).alias("n"))
+    ranked = numbered.join(whole, keys).withColumn(
+        "piece", F.floor((F.col("_no") - F.col("_first")) / piece_rows).cast("bigint"))
     return (
-        # Partitioned by the part too: grouping alone would keep a group's parts together.
-        parted.repartition(*keys, "part")
-        .groupBy(*keys, F.col("part").alias("piece"))
-        .agg(F.array_sort(F.collect_list(member)).alias(out))
-        .withColumn("n", F.size(out).cast("bigint"))
+        # Partitioned by the piece too: grouping alone would keep a group's pieces together.
+        ranked.repartition(*keys, "piece").groupBy(*keys, "piece")
+        .agg(F.max("n").alias("n"), F.array_sort(F.collect_list(member)).alias(out))
     )
 
 

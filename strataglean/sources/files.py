@@ -27,26 +27,29 @@ def read_text(spark: SparkSession, path: str, partitions: int | None = None) ->
 
 
 def parse_vectors(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``id,label,f1,..,fd`` lines -> id, label, features; a bad number becomes NULL."""
-    fields = F.transform(F.split(column, ","), lambda f: F.trim(f).try_cast("double"))
+    """``id,label,f1,..,fd`` lines -> id, label, features; a bad or absent number becomes NULL."""
+    fields = F.transform(F.split(column, ","), lambda f: F.trim(f))
+    numbers = F.transform(
+        F.slice("f", F.lit(3), F.greatest(F.size("f") - 2, F.lit(0))), lambda f: f.try_cast("double"))
     return lines.select(fields.alias("f")).select(
-        F.col("f")[0].cast("bigint").alias("id"),
-        F.col("f")[1].cast("int").alias("label"),
-        F.slice("f", F.lit(3), F.greatest(F.size("f") - 2, F.lit(0))).alias("features"),
+        F.get("f", F.lit(0)).try_cast("bigint").alias("id"),
+        F.get("f", F.lit(1)).try_cast("int").alias("label"),
+        numbers.alias("features"),
     )
 
 
 def transaction_baskets(raw: DataFrame) -> DataFrame:
-    """``basket, item`` from text columns date (M/d/yyyy), customer and product.
+    """Distinct ``basket, item`` from text columns date (M/d/yyyy), customer and product.
 
     A basket is a customer's day with a two-digit year; a product id loses its
-    leading zeros.
+    leading zeros. Rows without a valid date, customer or product are left out.
     """
-    day = F.date_format(F.to_date("date", "M/d/yyyy"), "M/d/yy")
-    return raw.select(
-        F.concat_ws("-", day, F.trim("customer")).alias("basket"),
-        F.col("product").cast("bigint").cast("string").alias("item"),
+    day = F.date_format(F.try_to_date("date", "M/d/yyyy"), "M/d/yy")
+    found = raw.select(
+        F.concat(day, F.lit("-"), F.trim("customer")).alias("basket"),
+        F.trim("product").try_cast("bigint").cast("string").alias("item"),
     )
+    return found.dropna().distinct()
 
 
 def stream_elements(df: DataFrame, order: list[str], element: str, batch_size: int) -> DataFrame:

@@ -1,10 +1,11 @@
 """Sketches as continuous queries.
 
-Every micro-batch writes its own partial state (bits, registers or slots) and
-its report into folders named after the epoch. A replayed epoch overwrites the
-same folders, and partial states merge by min or max, so results do not change
-when a query is restarted or an executor is lost. Rows carry their sequence
-number, as offsets of a log do; epochs arrive in that order.
+Every micro-batch writes its own partial state (registers or slots) or all state so far
+(bits, whose number is bounded) and its report into folders named after the epoch. A
+replayed epoch overwrites the same folders, and partial states and reports merge by min,
+max or sum when they are read, so results do not change when a query is restarted, an
+executor is lost, or a batch comes in several epochs. Rows carry their sequence number, as
+offsets of a log do; epochs arrive in that order.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataglean.operators import sketches
-from strataglean.session import scratch_path
 
 STREAM = "seq bigint, batch_id bigint, id string"
 
@@ -43,16 +43,18 @@ def _put(df: DataFrame, path: str, what: str, epoch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{what}/epoch={epoch}")
 
 
-def _earlier(spark: SparkSession, path: str, what: str, schema: str, epoch: int) -> DataFrame:
-    """State written by the epochs before this one; a replay does not see its own output."""
+def _before(spark: SparkSession, path: str, what: str, schema: str, epoch: int) -> DataFrame:
+    """All state up to the epoch before this one; a replay does not see its own output."""
     if epoch == 0:
         return spark.createDataFrame([], schema)
-    states = spark.read.schema(f"{schema}, epoch bigint").parquet(f"{path}/{what}")
-    return states.filter(F.col("epoch") < epoch).drop("epoch")
+    return spark.read.schema(schema).parquet(f"{path}/{what}/epoch={epoch - 1}")
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/report").drop("epoch")
+    """The Bloom filter's report, one row per batch however many epochs it came in."""
+    counts = spark.read.parquet(f"{path}/report").groupBy("batch_id").agg(
+        F.sum("n_new").alias("n_new"), F.sum("fp").alias("fp"))
+    return sketches.fp_rates(counts)
 
 
 def bloom_epoch(hashes: list[sketches.BloomHash]) -> Callable[[DataFrame, int, str], None]:
@@ -61,23 +63,23 @@ def bloom_epoch(hashes: list[sketches.BloomHash]) -> Callable[[DataFrame, int, s
     def each(df: DataFrame, epoch: int, path: str) -> None:
         spark = df.sparkSession
         df.persist()
-        before = _earlier(spark, path, "bits", "bit bigint, first bigint", epoch)
-        seen = _earlier(spark, path, "seen", "id string, since bigint", epoch)
+        before = _before(spark, path, "bits", "bit bigint, first bigint", epoch)
+        seen = _before(spark, path, "seen", "id string, since bigint", epoch)
         own = sketches.bloom_first_bits(df, hashes)
         # Only bits that no earlier epoch has set are news.
-        fresh = own.join(before.select("bit"), "bit", "left_anti")
-        _put(fresh, path, "bits", epoch)
-        fresh = spark.read.parquet(f"{path}/bits/epoch={epoch}")
+        _put(own.join(before.select("bit"), "bit", "left_anti"), path, "fresh", epoch)
+        fresh = spark.read.parquet(f"{path}/fresh/epoch={epoch}")
+        _put(before.unionByName(fresh), path, "bits", epoch)
         new = sketches.bloom_new_ids(df, fresh, bits).select("id", F.col("batch_id").alias("since"))
-        _put(new, path, "seen", epoch)
-        _put(sketches.bloom_report(df, fresh, bits, seen), path, "report", epoch)
+        _put(seen.unionByName(new), path, "seen", epoch)
+        _put(sketches.bloom_counts(df, fresh, bits, seen), path, "report", epoch)
         df.unpersist()
 
     return each
 
 
 def run_bloom(source: DataFrame, path: str, hashes: list[sketches.BloomHash]) -> None:
-    """Bloom filter over a stream of batches; a batch has to lie within one epoch."""
+    """Bloom filter over a stream of batches."""
     _run(source, "bloom", path, bloom_epoch(hashes))
 
 
@@ -140,22 +142,3 @@ def read_fm_by_window(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.max_by(F.struct("n", "estimate"), "epoch").alias("last"))
         .select("window_start", "last.n", "last.estimate")
     )
-
-
-def replay_in_drops(
-    stream: DataFrame, drops: int, run: Callable[[DataFrame, str], None]
-) -> str:
-    """Feed a numbered table to a continuous query in ``drops`` deliveries; returns its state folder.
-
-    After each delivery the query runs until it has read everything and stops,
-    so every next run resumes from its saved progress. Deliveries end at batch ends.
-    """
-    spark = stream.sparkSession
-    folder, path = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-state")
-    last = stream.agg(F.max("batch_id")).first()[0] or 0
-    step = last // drops + 1
-    for drop in range(drops):
-        part = stream.filter((F.col("batch_id") >= drop * step) & (F.col("batch_id") < (drop + 1) * step))
-        part.select("seq", "batch_id", "id").write.mode("append").parquet(folder)
-        run(open_stream(spark, folder), path)
-    return path

@@ -133,3 +133,18 @@ def test_labels_and_modularity(spark, rows):
 def test_co_pair_edges(spark, rows):
     df = spark.createDataFrame([("x", 1), ("x", 2), ("y", 1), ("y", 2), ("y", 3)], "g string, m int")
     assert rows(graph.co_pair_edges(df, "g", "m", 2, directed=True)) == [(1, 2, 2), (2, 1, 2)]
+
+
+def test_divisive_communities_of_text_ids_and_of_nothing(spark):
+    named = spark.createDataFrame([(f"u{a}", f"u{b}") for a, b in BRIDGE], "src string, dst string")
+    got = {r["id"]: r["community"] for r in graph.divisive_communities(named).collect()}
+    assert got == {"u1": "u1", "u2": "u1", "u3": "u1", "u4": "u4", "u5": "u4", "u6": "u4"}
+    none = spark.createDataFrame([], "src string, dst string")
+    assert graph.divisive_communities(none).count() == 0 and graph.cut_sequence(none).count() == 0
+
+
+def test_betweenness_does_not_depend_on_batches(spark, rows, monkeypatch):
+    edges = _edges(spark, _random_edges(9, 14, 3))
+    want = rows(graph.edge_betweenness(edges, root_batches=1).selectExpr("src", "dst", "round(betweenness, 9) b"))
+    monkeypatch.setattr(graph, "STATE_ROWS", 20)
+    assert rows(graph.edge_betweenness(edges).selectExpr("src", "dst", "round(betweenness, 9) b")) == want

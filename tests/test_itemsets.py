@@ -65,3 +65,33 @@ def test_same_sets_as_fpgrowth(spark):
     model = FPGrowth(itemsCol="items", minSupport=0.5).fit(rows)
     want = sorted((len(r["items"]), ",".join(sorted(r["items"])), r["freq"]) for r in model.freqItemsets.collect())
     assert _got(itemsets.apriori(_frame(spark, baskets), 3)) == want
+
+
+def test_repeated_rows_count_once(spark):
+    rows = [(0, "a"), (0, "a"), (0, "b"), (0, "b"), (1, "a"), (1, "c")]
+    df = spark.createDataFrame(rows, "basket int, item string")
+    want = _frequent(["ab", "ac"], 2)
+    assert _got(itemsets.apriori(df, 2)) == _got(itemsets.son(df, 2, 2)) == want
+    assert itemsets.frequent_pairs(df, 2).count() == 0
+    assert itemsets.min_size_baskets(df, 2).count() == 0
+
+
+def test_more_heavy_baskets_than_support(spark, monkeypatch):
+    monkeypatch.setattr(itemsets, "HEAVY_BASKET_ITEMS", 3)
+    rng = random.Random(6)
+    baskets = [rng.sample("abcdefghij", rng.randrange(1, 8)) for _ in range(30)]
+    for support in (2, 4, 9):
+        want = _frequent(baskets, support)
+        assert _got(itemsets.apriori(_frame(spark, baskets), support)) == want
+        assert _got(itemsets.son(_frame(spark, baskets), support, 3)) == want
+
+
+def test_chunks_are_as_small_as_asked(spark, monkeypatch):
+    monkeypatch.setattr(itemsets, "CHUNK_ROWS", 7)
+    assert _got(itemsets.son(_frame(spark, SMALL), 2, 1)) == _frequent(SMALL, 2)
+
+
+def test_subsets_with_unknown_and_single_items(spark):
+    wanted = spark.createDataFrame([(["a"],), (["a", "b"],), (["a", "b", "c"],), (["a", "z"],)], "itemset array<string>")
+    got = {",".join(r["itemset"]): r["support"] for r in itemsets.subset_support(wanted, _frame(spark, SMALL)).collect()}
+    assert got == {"a": 4, "a,b": 3, "a,b,c": 1}

@@ -77,3 +77,39 @@ def test_blend_matches_by_key(spark, rows):
     a = spark.createDataFrame([(1, 1, 2.0), (2, 1, 4.0)], "user_id int, item_id int, prediction double")
     b = spark.createDataFrame([(2, 1, 1.0), (1, 1, 3.0)], "user_id int, item_id int, prediction double")
     assert rows(recommend.hybrid_blend(a, b, 0.5, 0.5)) == [(1, 1, 2.5), (2, 1, 2.5)]
+
+
+def test_stars_keep_their_type(spark, rows):
+    data = [(1, 1, 4.0, "2000-01-01"), (1, 1, 3.5, "2001-01-01"), (1, 2, 4.5, "9999-12-31"), (1, 2, 2.0, None), (2, 1, 1.0, None)]
+    df = spark.createDataFrame(data, "user_id int, item_id int, stars double, day string").withColumn(
+        "day", F.col("day").cast("timestamp_ntz"))
+    assert rows(recommend.latest_ratings(df)) == [(1, 1, 3.5), (1, 2, 4.5), (2, 1, 1.0)]
+    exact = df.withColumn("stars", F.col("stars").cast("decimal(3,1)"))
+    assert [float(r[2]) for r in rows(recommend.latest_ratings(exact))] == [3.5, 4.5, 1.0]
+
+
+def test_pearson_of_half_stars(spark):
+    first, second = [4.5, 3.0, 1.5, 2.0], [5.0, 2.5, 1.0, 3.5]
+    data = [(u, i, s) for i, stars in ((1, first), (2, second)) for u, s in enumerate(stars)]
+    latest = spark.createDataFrame(data, "user_id int, item_id int, stars double")
+    pairs = spark.createDataFrame([(1, 2)], "item_1 int, item_2 int")
+    mx, my = sum(first) / 4, sum(second) / 4
+    want = sum((x - mx) * (y - my) for x, y in zip(first, second)) / sqrt(
+        sum((x - mx) ** 2 for x in first) * sum((y - my) ** 2 for y in second))
+    assert abs(recommend.item_pearson(latest, pairs).first()["pearson"] - want) < 1e-12
+
+
+def test_trees_take_the_features_they_are_given(spark):
+    data = [(u, i, float(u % 3), float(i % 2), float(u % 3 + i % 2)) for u in range(12) for i in range(6)]
+    rows = spark.createDataFrame(data, "user_id int, item_id int, a double, b double, label double")
+    model = recommend.fit_boosted_trees(rows, "label", ["a", "b"], rounds=10)
+    scored = recommend.predict_boosted_trees(model, rows, ["a", "b"]).join(rows, ["user_id", "item_id"])
+    assert all(abs(r["prediction"] - r["label"]) < 0.2 for r in scored.collect())
+    shares = {r["feature"]: r["importance"] for r in recommend.feature_importance(model, spark, ["a", "b"]).collect()}
+    assert set(shares) == {"a", "b"} and abs(sum(shares.values()) - 1) < 1e-9
+
+
+def test_z_score_without_spread(spark):
+    row = spark.createDataFrame([(3.0, 3.0, 0.0)], "v double, m double, s double").select(
+        recommend.z_score(F.col("v"), F.col("m"), F.col("s")).alias("z")).first()
+    assert row["z"] == 0.0

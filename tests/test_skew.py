@@ -63,3 +63,27 @@ def test_large_groups_come_in_pieces(spark):
     df = spark.createDataFrame(_hot_pairs(), "g int, m int")
     out = skew.pieces(df, ["g"], "m", "ms", piece_rows=12).filter("g < 2").collect()
     assert len(out) > 2 and sorted(m for r in out if r["g"] == 0 for m in r["ms"]) == list(range(40))
+
+
+def test_pieces_follow_one_rule_at_all_sizes(spark):
+    data = _hot_pairs()
+    df = spark.createDataFrame(data, "g int, m int").repartition(4)
+    groups = {}
+    for g, m in data:
+        groups.setdefault(g, []).append(m)
+    for piece_rows in (1, 7, 1000):
+        out = skew.pieces(df, ["g"], "m", "ms", piece_rows=piece_rows).collect()
+        for g, members in groups.items():
+            own = sorted((r["piece"], r["ms"], r["n"]) for r in out if r["g"] == g)
+            assert [m for _, ms, _ in own for m in ms] == sorted(members)
+            assert {n for _, _, n in own} == {len(members)}
+            assert [p for p, _, _ in own] == list(range(len(own))) and all(len(ms) == piece_rows for _, ms, _ in own[:-1])
+
+
+def test_hot_groups_keep_whole_sizes(spark, rows):
+    data = [(g, i) for g, n in enumerate([9, 8, 8, 7, 2]) for i in range(n)]
+    df = spark.createDataFrame(data, "g int, m int")
+    assert rows(skew.hot_groups(df, "g", 3), "g") == [(0,), (1,), (2,), (3,)]
+    assert rows(skew.hot_groups(df, "g", 3, 3), "g") == [(0,), (1,), (2,)]
+    assert rows(skew.hot_groups(df, "g", 3, 2), "g") == [(0,)]  # two groups of one size stay together
+    assert rows(skew.hot_groups(df, "g", 3, 0), "g") == []

@@ -8,6 +8,7 @@ from strataglean.functions.hashing import linear_params
 from strataglean.operators import sketches
 from strataglean.session import scratch_path
 from strataglean.sources import files
+from strataglean.plans import streams
 from strataglean.streaming import continuous
 
 HASHES = [(131, 103, None, 97), (137, 107, 61, 97), (149, 109, None, 97)]
@@ -107,7 +108,7 @@ def test_missing_slots_are_null(stream):
 
 
 def test_continuous_queries_equal_batch_and_survive_replay(spark, stream, rows):
-    state = continuous.replay_in_drops(stream, 2, lambda src, path: continuous.run_bloom(src, path, HASHES))
+    state = streams.replay_in_drops(stream, 2, lambda src, path: continuous.run_bloom(src, path, HASHES))
     got = rows(continuous.read_reports(spark, state), "batch_id", "n_new", "fp")
     assert got == _bloom(_ids())
     # The last epoch runs again, as after a failure between output and commit.
@@ -115,10 +116,10 @@ def test_continuous_queries_equal_batch_and_survive_replay(spark, stream, rows):
     continuous.bloom_epoch(HASHES)(late, 1, state)
     assert rows(continuous.read_reports(spark, state), "batch_id", "n_new", "fp") == got
 
-    state = continuous.replay_in_drops(stream, 2, lambda src, path: continuous.run_fm(src, path, PARAMS))
+    state = streams.replay_in_drops(stream, 2, lambda src, path: continuous.run_fm(src, path, PARAMS))
     assert rows(continuous.read_fm(spark, state, len(PARAMS))) == rows(sketches.fm_batches(stream, PARAMS))
 
-    state = continuous.replay_in_drops(
+    state = streams.replay_in_drops(
         stream, 2, lambda src, path: continuous.run_reservoir(src, path, 10, "t"))
     assert rows(continuous.read_reservoir(spark, state, [0, 3, 9])) == _reservoir(stream, 10, [0, 3, 9])[0]
 
@@ -136,3 +137,12 @@ def test_late_events_are_left_out(spark, rows):
     drop("2024-01-01 00:30:00", "2024-01-01 09:30:00")
     got = [(str(w), n) for w, n, _ in rows(continuous.read_fm_by_window(spark, path))]
     assert got == [("2024-01-01 00:00:00", 2), ("2024-01-01 09:00:00", 2)]
+
+
+def test_a_batch_over_two_epochs_is_one_report(spark, stream, rows):
+    state = scratch_path(spark, "split")
+    each = continuous.bloom_epoch(HASHES)
+    each(stream.filter("seq <= 18"), 0, state)  # ends inside batch 1
+    each(stream.filter("seq > 18 and seq <= 55"), 1, state)
+    each(stream.filter("seq > 55"), 2, state)
+    assert rows(continuous.read_reports(spark, state), "batch_id", "n_new", "fp") == _bloom(_ids())
