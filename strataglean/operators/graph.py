@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from strataglean.skew import add_part, broadcast_checked, co_occurrence, hot_par
 HUB_ROWS = 4096
 # Rows (root, node) that breadth-first steps hold at a time.
 STATE_ROWS = 50_000_000
+# Edges of a component that one task cuts to the end.
+SMALL_EDGES = 2000
 
 
 def co_pair_edges(
@@ -293,7 +296,115 @@ def _scored_components(edges: DataFrame, hubs: DataFrame | None) -> tuple[DataFr
     return scores, community
 
 
-def cut_sequence(edges: DataFrame) -> DataFrame:
+def _spread_of(near: dict, nodes: list) -> dict:
+    """Shortest-path credit of each edge (smaller end first) of a component in memory, over all roots."""
+    credit: dict = {}
+    for root in nodes:
+        far, paths, order = {root: 0}, {root: 1.0}, [root]
+        for v in order:
+            for w in near[v]:
+                if w not in far:
+                    far[w], paths[w] = far[v] + 1, 0.0
+                    order.append(w)
+                if far[w] == far[v] + 1:
+                    paths[w] += paths[v]
+        flow = dict.fromkeys(order, 1.0)
+        for w in reversed(order):
+            for v in near[w]:
+                if far[v] == far[w] - 1:
+                    share = flow[w] * paths[v] / paths[w]
+                    flow[v] += share
+                    edge = (v, w) if v < w else (w, v)
+                    credit[edge] = credit.get(edge, 0.0) + share
+    return credit
+
+
+def _reached(near: dict, start) -> list:
+    found = [start]
+    seen = {start}
+    for v in found:
+        new = near[v] - seen
+        seen |= new
+        found.extend(new)
+    return found
+
+
+def _cut_whole(alive: list, whole: list, degrees: dict, key: list, four_m: int) -> list:
+    """All further cuts of one component in memory: (src, dst, key, gain).
+
+    ``alive`` are its edges, ``whole`` those of the uncut graph between its nodes,
+    ``degrees`` the nodes' degrees in the uncut graph.
+    """
+    near: dict = {v: set() for v in degrees}
+    inner: dict = {v: set() for v in degrees}
+    for pairs, into in ((alive, near), (whole, inner)):
+        for a, b in pairs:
+            into[a].add(b)
+            into[b].add(a)
+
+    def term(nodes: list) -> int:
+        members = set(nodes)
+        edges = sum(len(inner[v] & members) for v in nodes) // 2
+        return four_m * edges - sum(degrees[v] for v in nodes) ** 2
+
+    todo, cuts = [(list(degrees), list(key))], []
+    while todo:
+        nodes, before = todo.pop()
+        credit = _spread_of(near, nodes)
+        if not credit:
+            continue
+        cut = min((-round(c / 2, 7), a, b) for (a, b), c in credit.items())
+        _, a, b = cut
+        near[a].discard(b)
+        near[b].discard(a)
+        path = [e for e in before if e > cut] + [cut]
+        parts = [_reached(near, a)]
+        if b not in set(parts[0]):
+            parts.append(_reached(near, b))
+        gain = sum(map(term, parts)) - term(nodes) if len(parts) > 1 else 0
+        cuts.append((a, b, path, gain))
+        todo += [(part, path) for part in parts]
+    return cuts
+
+
+def _cut_small(graph: DataFrame, alive: DataFrame, where: DataFrame, key: str, edge_count: int) -> DataFrame:
+    """``src, dst, cut_key, gain`` of all cuts of components that one task can hold.
+
+    ``alive`` (src, dst, community, key) are their edges, ``where`` (id, community) their nodes.
+    """
+    kind = graph.schema["src"].dataType.simpleString()
+    src, dst = (where.select(F.col("id").alias(c), "community") for c in ("src", "dst"))
+    degrees = both_ways(graph).groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("d"))
+    nothing = F.lit(None).cast("bigint")
+    rows = (
+        alive.select("community", "src", "dst", F.lit("alive").alias("what"), nothing.alias("d"), "key")
+        .unionByName(graph.join(src, "src").join(dst, ["dst", "community"]).select(
+            "community", "src", "dst", F.lit("whole").alias("what"), nothing.alias("d"), F.lit(None).cast(key).alias("key")))
+        .unionByName(where.join(degrees, "id").select(
+            "community", F.col("id").alias("src"), F.col("id").alias("dst"), F.lit("node").alias("what"), "d",
+            F.lit(None).cast(key).alias("key")))
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        parts: dict = {"alive": [], "whole": [], "node": []}
+        before: list = []
+        for row in table.to_pylist():
+            parts[row["what"]].append((row["src"], row["dst"], row["d"]))
+            if row["key"]:
+                before = [(e["rank"], e["src"], e["dst"]) for e in row["key"]]
+        cuts = _cut_whole([r[:2] for r in parts["alive"]], [r[:2] for r in parts["whole"]],
+                          {r[0]: r[2] for r in sorted(parts["node"])}, before, 4 * edge_count)
+        own = table.schema.field("src").type
+        entry = pa.struct([("rank", pa.float64()), ("src", own), ("dst", own)])
+        return pa.table({
+            "src": pa.array([c[0] for c in cuts], own), "dst": pa.array([c[1] for c in cuts], own),
+            "cut_key": pa.array([[dict(zip(("rank", "src", "dst"), e)) for e in c[2]] for c in cuts], pa.list_(entry)),
+            "gain": pa.array([c[3] for c in cuts], pa.int64())})
+
+    return rows.groupBy("community").applyInArrow(run, f"src {kind}, dst {kind}, cut_key {key}, gain bigint")
+
+
+def cut_sequence(edges: DataFrame, small_edges: int = SMALL_EDGES) -> DataFrame:
     """``src, dst, cut_key, gain``: every edge with its place in the order of cuts.
 
     The order is: always cut the edge of highest betweenness in the whole graph,
@@ -303,22 +414,37 @@ def cut_sequence(edges: DataFrame) -> DataFrame:
     for the cuts it came from, and among waiting components the better edge goes
     first, so a cut is ranked by the worst edge on its way, then by the worst
     one after that, and so on. ``gain`` is the change of 4 m^2 * modularity.
+
+    A component of at most ``small_edges`` edges is cut to the end by one task; the rounds
+    over the tables go on with the larger ones.
     """
     graph = cut_lineage(edges.select("src", "dst"))
     kind = graph.schema["src"].dataType.simpleString()
     key = f"array<struct<rank:double,src:{kind},dst:{kind}>>"
     if graph.isEmpty():
         return graph.select("src", "dst", F.lit(None).cast(key).alias("cut_key"), F.lit(0).cast("bigint").alias("gain"))
-    hubs = _hubs(graph)
-    scores, community = _scored_components(graph, hubs)
+    hubs, edge_count = _hubs(graph), graph.count()
+    if edge_count <= small_edges:
+        # No component can be too large for a task: none is scored over the tables.
+        community = connected_components(graph).withColumnRenamed("component", "community")
+        scores = graph.withColumn("betweenness", F.lit(0.0))
+    else:
+        scores, community = _scored_components(graph, hubs)
     where = cut_lineage(community.withColumn("parent", F.col("community")))
     keys = where.select("community").distinct().withColumn(
         "key", F.array().cast(key))
-    cuts, history = [], [where.withColumn("round", F.lit(0))]
+    cuts, history, finished = [], [where.withColumn("round", F.lit(0))], []
     while True:
         alive = cut_lineage(
             scores.join(where.select(F.col("id").alias("src"), "community"), "src").join(keys, "community")
         )
+        sizes = alive.groupBy("community").agg(F.count(F.lit(1)).alias("n"))
+        small = cut_lineage(sizes.filter(F.col("n") <= small_edges).select("community"))
+        if not small.isEmpty():
+            finished.append(cut_lineage(_cut_small(
+                graph, alive.join(small, "community", "left_semi").select("src", "dst", "community", "key"),
+                where.join(small, "community", "left_semi").select("id", "community"), key, edge_count)))
+            alive = cut_lineage(alive.join(small, "community", "left_anti"))
         if alive.isEmpty():
             break
         edge = F.struct((-F.col("betweenness")).alias("rank"), "src", "dst")
@@ -339,7 +465,9 @@ def cut_sequence(edges: DataFrame) -> DataFrame:
         history.append(where.withColumn("round", F.lit(len(history))))
         keys = where.select("community", "parent").distinct().join(
             chosen.select(F.col("community").alias("parent"), "key"), "parent").select("community", "key")
-    return _with_gain(graph, reduce(DataFrame.unionByName, cuts), reduce(DataFrame.unionByName, history))
+    if cuts:
+        finished.append(_with_gain(graph, reduce(DataFrame.unionByName, cuts), reduce(DataFrame.unionByName, history)))
+    return reduce(DataFrame.unionByName, finished)
 
 
 def _with_gain(graph: DataFrame, cuts: DataFrame, history: DataFrame) -> DataFrame:
@@ -361,7 +489,7 @@ def _with_gain(graph: DataFrame, cuts: DataFrame, history: DataFrame) -> DataFra
         F.col("key").alias("cut_key"), (F.col("after") - F.col("term")).alias("gain"))
 
 
-def divisive_communities(edges: DataFrame, digits: int = 7) -> DataFrame:
+def divisive_communities(edges: DataFrame, digits: int = 7, small_edges: int = SMALL_EDGES) -> DataFrame:
     """``id, community, modularity``: the best partition on the way of :func:`cut_sequence`.
 
     The uncut graph counts too; of equal partitions the earlier one wins.
@@ -373,7 +501,7 @@ def divisive_communities(edges: DataFrame, digits: int = 7) -> DataFrame:
     norm = 4.0 * graph.count() ** 2
     start = _partition_terms(graph, whole, graph.count()).agg(F.sum("term")).first()[0]
     cuts = cut_lineage(
-        running_sum(cut_sequence(graph), ["cut_key"], "gain", "gained")
+        running_sum(cut_sequence(graph, small_edges), ["cut_key"], "gain", "gained")
         .withColumn("score", F.round((F.lit(start) + F.col("gained")) / norm, digits))
     )
     best = cuts.orderBy(F.desc("score"), "cut_key").first()

@@ -2,6 +2,8 @@ import random
 from collections import Counter, defaultdict, deque
 from itertools import combinations
 
+import pytest
+
 from strataglean.operators import graph
 
 BRIDGE = [(1, 2), (1, 3), (2, 3), (3, 4), (4, 5), (4, 6), (5, 6)]
@@ -106,14 +108,24 @@ def test_betweenness_with_hubs_and_batches(spark, monkeypatch, rows):
     assert rows(graph.bfs_path_counts(df)) == counts
 
 
-def test_divisive_communities_match_single_cuts(spark):
-    pairs = _random_edges(8, 9, 7)
+@pytest.mark.parametrize("pairs, small", [
+    (_random_edges(8, 9, 7), 0), (_random_edges(8, 9, 7), 4), (_random_edges(8, 9, 7), 2000), (_random_edges(9, 14, 3), 2000),
+    (_random_edges(12, 12, 5), 2000), (_random_edges(12, 12, 5), 3),
+    ([(1, 2), (2, 3), (3, 4), (4, 1), (5, 6), (6, 7), (7, 8), (8, 5)], 2000),  # ties, two components
+])
+def test_divisive_communities_match_single_cuts(spark, pairs, small):
     best, top = _divide(pairs)
-    got = graph.divisive_communities(_edges(spark, pairs)).collect()
+    got = graph.divisive_communities(_edges(spark, pairs), small_edges=small).collect()
     assert got[0]["modularity"] == top
     assert {r["id"]: r["community"] for r in got} == best
 
 
+def test_cuts_in_one_task_equal_cuts_over_tables(spark):
+    edges = _edges(spark, _random_edges(8, 9, 11))
+    one, tables = (sorted((r["src"], r["dst"], r["gain"]) for r in graph.cut_sequence(edges, n).collect()) for n in (2000, 0))
+    assert one == tables
+
+
 def test_components(spark, rows):
     pairs = [(i, i + 1) for i in range(30)] + [(40, 41), (41, 45), (50, 60)]
     got = graph.connected_components(_edges(spark, pairs))
