@@ -64,32 +64,29 @@ def place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no")
 
 
-def _segments(length: Column, distance: int) -> list[tuple[Column, Column]]:
-    """Start (from 1) and width of the segments of a line of this length, the longer ones last."""
-    parts = distance + 1
+def segment(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
+    """Start (from 1) and width of segment ``i`` of a line of this length, the longer ones last."""
     short = F.floor(length / parts).cast("int")
     n_short = parts - (length - short * parts)
-    return [(short * i + F.greatest(F.lit(0), F.lit(i) - n_short) + 1, short + F.when(n_short > i, 0).otherwise(1))
-            for i in range(parts)]
+    return short * i + F.greatest(F.lit(0), i - n_short) + 1, short + (n_short <= i).cast("int")
 
 
-# A key's segment number, start and width as one number: comparing these is much cheaper than structs.
-AT, NUMBER = 1 << 30, 1 << 60
-
-
-def key_places(length: Column, distance: int = DISTANCE) -> Column:
-    """Number, start and width of every substring that a line of this length may share with a near one.
+def key_places(lengths: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``length, i, at, width`` of every substring that a line of a length may share with a near one.
 
     With i segments before it and distance - i after it, a segment cannot have moved
     by more than the edits to its left, nor, seen from the end, by those to its right.
     """
-    found = []
+    cases = []
     for less in range(distance + 1):
-        for i, (start, width) in enumerate(_segments(length - less, distance)):
+        for i in range(distance + 1):
             lowest, highest = max(-i, less - (distance - i)), min(i, less + (distance - i))
-            for move in range(lowest, highest + 1):
-                found.append(F.lit(i * NUMBER).cast("long") + (start + move).cast("long") * AT + width)
-    return F.array_distinct(F.array(*found))
+            cases += [(less, i, move) for move in range(lowest, highest + 1)]
+    listed = F.array(*[F.struct(F.lit(a).alias("less"), F.lit(b).alias("i"), F.lit(c).alias("move")) for a, b, c in cases])
+    rows = lengths.select("length", F.explode(listed).alias("c")).select("length", "c.*")
+    start, width = segment(F.col("length") - F.col("less"), F.col("i"), distance + 1)
+    placed = rows.select("length", "i", (start + F.col("move")).alias("at"), width.alias("width")).distinct()
+    return placed.filter((F.col("at") >= 1) & (F.col("at") + F.col("width") - 1 <= F.col("length")))
 
 
 def word_parity() -> Column:
@@ -110,12 +107,15 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 def line_index(distinct: DataFrame) -> DataFrame:
     """``key, k1``: distinct keys of the lines that may have near ones."""
     near = distinct.filter(F.col("length") >= NEAR_CHARS)
-    # One row per key before the text is cut, so that the cutting is compiled code.
-    places = near.select("k1", "line", "length", F.explode(key_places(F.col("length"))).alias("p"))
-    number, width = F.shiftright("p", 60), F.col("p").bitwiseAND(F.lit(AT - 1)).cast("int")
-    at = F.shiftright("p", 30).bitwiseAND(F.lit(AT - 1)).cast("int")
-    inside = (at >= 1) & (at + width - 1 <= F.col("length"))
-    return places.filter(inside).select(F.xxhash64(number, width, F.substring("line", at, width)).alias("key"), "k1")
+    # Where to cut depends on the length alone.
+    places = cut_lineage(key_places(near.select("length").distinct()))
+    placed = near.select("k1", "length", "line").join(broadcast_checked(places, BROADCAST_KEYS), "length")
+    # Bytes need no counting of characters; where each character is a byte, both cuts are the same.
+    at, width = F.col("at"), F.col("width")
+    key = F.when(F.octet_length("line") == F.col("length"),
+                 F.xxhash64("i", "width", F.substring(F.col("line").cast("binary"), at, width))).otherwise(
+        F.xxhash64("i", "width", F.substring("line", at, width)))
+    return placed.select(key.alias("key"), "k1")
 
 
 def shared_keys(distinct: DataFrame) -> DataFrame:

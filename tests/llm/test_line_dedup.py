@@ -101,7 +101,7 @@ def test_null_ids_are_last_and_equal_rows_alike(spark):
 
 def test_segments_cover_the_line(spark):
     for n in (40, 41, 42, 100):
-        cuts = dedup._segments(F.lit(n), 2)
+        cuts = [dedup.segment(F.lit(n), F.lit(i), 3) for i in range(3)]
         row = spark.range(1).select(*[F.struct(a.alias("a"), w.alias("w")) for a, w in cuts]).first()
         at = 1
         for start, width in row:
