@@ -40,6 +40,7 @@ from pyspark.sql.types import LongType
 from strataglean.llm import common
 from strataglean.operators.graph import connected_components
 from strataglean.session import cut_lineage
+from strataglean.skew import broadcast_checked
 
 SEED, SHINGLE, BITS, MAX_DISTANCE = 42, 3, 64, 3
 # Shingles hashed at a time, so that a very long text needs little memory.
@@ -48,6 +49,8 @@ PIECE = 1 << 16
 HOT_VALUE, BLOCK = 512, 2048
 # Cost of a candidate pair in units of a row that is shuffled.
 PAIR_COST = 0.05
+# Rows of 16 bytes up to which the ids of the documents that stay are broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -312,13 +315,24 @@ def keep_one(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     of rows equal in both any one.
     """
     prints = cut_lineage(fingerprints(docs))
-    best = (
+    best = cut_lineage(
         prints.join(components(prints, distance), "fp").groupBy("component")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("best"))
         .select(F.col("best.doc_id").alias("_best_id"), F.col("best.fp").alias("_best_fp"))
     )
-    fp = common.fresh("fp", docs.columns)
-    marked = with_fingerprint(docs, fp)
-    kept = marked.join(
-        best, F.col("doc_id").eqNullSafe(F.col("_best_id")) & (F.col(fp) == F.col("_best_fp")), "left_semi")
-    return kept.dropDuplicates(["doc_id", fp]).drop(fp)
+    # Where an id names one row, the id decides; the texts need not be moved or read by their words again.
+    several = cut_lineage(
+        prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        .select(F.col("doc_id").alias("_several")))
+    own_id = F.col("doc_id").cast("long")
+    chosen = broadcast_checked(best, BROADCAST_IDS)
+    some = not several.isEmpty()
+    single = docs.join(several, own_id.eqNullSafe(F.col("_several")), "left_anti") if some else docs
+    kept = single.join(chosen, own_id.eqNullSafe(F.col("_best_id")), "left_semi")
+    if some:
+        fp = common.fresh("fp", docs.columns)
+        marked = with_fingerprint(docs.join(several, own_id.eqNullSafe(F.col("_several")), "left_semi"), fp)
+        rest = marked.join(
+            chosen, own_id.eqNullSafe(F.col("_best_id")) & (F.col(fp) == F.col("_best_fp")), "left_semi")
+        kept = kept.unionByName(rest.dropDuplicates(["doc_id", fp]).drop(fp))
+    return kept
