@@ -39,6 +39,8 @@ MIN_CHARS, NEAR_CHARS, DISTANCE = 20, 40, 2
 HOT_KEY = 32
 # Rows of 16 bytes up to which the keys of several lines are broadcast.
 BROADCAST_KEYS = 1_000_000
+# Removed lines up to which their numbers are broadcast, about 16 bytes each with their documents.
+BROADCAST_LINES = 1_000_000
 # White space at the ends of a line.
 BLANK = " \t\v\f\r"
 
@@ -206,8 +208,10 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that go; all rows and columns stay."""
     columns = docs.columns
     own_print, other, gone = (common.fresh(c, columns) for c in ("print", "gone_id", "gone"))
-    found = _per_document(docs).select(
-        F.col("doc_id").alias(other), F.col("print").alias(f"{gone}_print"), F.col("removed").alias(gone))
+    found = cut_lineage(_per_document(docs).select(
+        F.col("doc_id").alias(other), F.col("print").alias(f"{gone}_print"), F.col("removed").alias(gone)))
+    if (found.agg(F.sum(F.size(gone))).first()[0] or 0) <= BROADCAST_LINES:  # else texts are shuffled to them
+        found = F.broadcast(found)
     text = F.col("text").cast("string")
     joined = docs.withColumn(own_print, F.xxhash64(text)).join(
         found, F.col("doc_id").cast("long").eqNullSafe(F.col(other)) & (F.col(own_print) == F.col(f"{gone}_print")), "left")
