@@ -9,12 +9,22 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import check_queries
 
 import __spark_entry__ as entry
+from strataglean.operators import recommend
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Streaming forms run several queries each; test_streams covers them on a small stream.
 SLOW = {name for name in entry.queries() if name.startswith("stream_") and name != "stream_batches"}
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_rounds():
+    """Ten rounds of boosting instead of 500: the facts that are checked hold for any number."""
+    defaults = recommend.fit_boosted_trees.__defaults__
+    recommend.fit_boosted_trees.__defaults__ = (None, 10, *defaults[2:])
+    yield
+    recommend.fit_boosted_trees.__defaults__ = defaults
+
+
 @pytest.fixture(scope="module")
 def db():
     return check_queries.database(FOLDER)
