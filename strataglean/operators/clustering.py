@@ -3,7 +3,8 @@
 A summary is a row (cluster, n, sum, sumsq). Points near a summary of the
 discard set (DS) or the compressed set (CS) are folded into it; the rest is
 retained (RS) until enough points are left to form new summaries. There are at
-most k summaries in DS and a few times 5k in CS, whatever the number of points.
+most k summaries in DS; those in CS may grow with the number of chunks, so summaries
+travel to the points in blocks of a bounded size.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from strataglean.sources.files import split_sample
 STATS = "cluster bigint, n bigint, sum array<double>, sumsq array<double>"
 # Ids of compressed clusters: round * ROUND_IDS + label.
 ROUND_IDS = 1_000_000
+# Coordinates of summaries that travel with a task at a time.
+PACKED_NUMBERS = 1_000_000
 
 
 def kmeans_labels(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
@@ -68,7 +71,7 @@ def sum_stats(stats: DataFrame, key: str) -> DataFrame:
 
 
 def _packed(stats: DataFrame, name: str) -> DataFrame:
-    """All summaries as one row, small enough to travel with every task."""
+    """Summaries as one row that travels with every task; callers bound their number."""
     entry = F.struct(
         "cluster", mean_of(F.struct("n", "sum")).alias("mean"),
         variance_of(F.struct("n", "sum", "sumsq")).alias("variance"),
@@ -83,17 +86,35 @@ def _nearest(packed: str):
     )))
 
 
+def _with_nearest(rows: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the nearest summary as ``name``.
+
+    Up to PACKED_NUMBERS numbers travel at once; more summaries come block by block, and
+    between the blocks the rows are written, so that no more than one block is in memory.
+    """
+    size = stats.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("sum")).alias("dims")).first()
+    blocks = max(1, -(-size["n"] * (size["dims"] or 1) // PACKED_NUMBERS))
+    block = F.pmod(F.xxhash64("cluster"), F.lit(blocks))
+    for b in range(blocks):
+        part = stats if blocks == 1 else stats.filter(block == b)
+        rows = rows.crossJoin(_packed(part, "_all")).withColumn("_near", _nearest("_all")).drop("_all")  # one row
+        rows = rows.withColumn(name, F.least(name, "_near") if b else F.col("_near")).drop("_near")
+        if blocks > 1:
+            rows = cut_lineage(rows)
+    return rows
+
+
 def bfr_assign(
     points: DataFrame, ds: DataFrame, cs: DataFrame | None = None, factor: float = 2.0
 ) -> DataFrame:
     """``points`` with ``kind, cluster, distance``: the nearest DS summary within
     factor * sqrt(d), else the nearest CS summary within it, else RS."""
     limit = F.lit(factor) * F.sqrt(F.size("features").cast("double"))
-    rows = points.crossJoin(_packed(ds, "_ds")).withColumn("_d", _nearest("_ds")).drop("_ds")
+    rows = _with_nearest(points, ds, "_d")
     if cs is None:
         rows = rows.withColumn("_c", F.lit(None).cast("struct<distance:double,cluster:bigint>"))
     else:
-        rows = rows.crossJoin(_packed(cs, "_cs")).withColumn("_c", _nearest("_cs")).drop("_cs")
+        rows = _with_nearest(rows, cs, "_c")
     in_ds, in_cs = F.col("_d.distance") < limit, F.col("_c.distance") < limit
     return (
         rows.withColumn("kind", F.when(in_ds, "ds").when(in_cs, "cs").otherwise("rs"))

@@ -42,3 +42,13 @@ def test_every_point_is_placed_once(spark):
     got = labels.collect()
     assert sorted(r["id"] for r in got) == list(range(325))
     assert sum(r["cluster"] >= 0 for r in got) == last["n_discard"]
+
+
+def test_summaries_in_blocks_give_the_same_assignment(spark, rows, monkeypatch):
+    rng = random.Random(9)
+    stats = _stats(spark, [(i, 2, [2 * x, 2 * y], [2 * x * x + 2, 2 * y * y + 2]) for i in range(30)
+                           for x, y in [(rng.uniform(0, 40), rng.uniform(0, 40))]])
+    points = spark.createDataFrame([(i, [rng.uniform(0, 40), rng.uniform(0, 40)]) for i in range(50)], "id int, features array<double>")
+    want = rows(clustering.bfr_assign(points, stats.filter("cluster < 5"), stats.filter("cluster >= 5")), "id", "kind", "cluster", "distance")
+    monkeypatch.setattr(clustering, "PACKED_NUMBERS", 12)
+    assert rows(clustering.bfr_assign(points, stats.filter("cluster < 5"), stats.filter("cluster >= 5")), "id", "kind", "cluster", "distance") == want
