@@ -7,8 +7,9 @@ The method: words and pairs of words, A-Z lower-cased, are hashed to BUCKETS cla
 multinomials over the classes, with one added to each count, are estimated: from all
 documents (raw corpus), and from all documents that ``labels`` calls good and not
 toxic (trusted target). A document's score is the mean over its n-grams of
-log p(target) - log p(raw); a document that passes the base rules is kept if
-its score is at least THRESHOLD. The counts are summed in the tasks, so that one
+log p(target) - log p(raw); a document that passes the base rules is kept if its score is at
+least THRESHOLD less BUCKETS / (n-grams of the target + BUCKETS). That allowance is the noise
+of a class's frequency in the target: it matters for small targets only. The counts are summed in the tasks, so that one
 vector of BUCKETS numbers per task is shuffled and one reaches the driver.
 
 A null text has no words. A document without n-grams has score 0. Rows are told apart by
@@ -39,8 +40,8 @@ BUCKETS, THRESHOLD = 10_000, -0.05
 PAIR, WINDOW = 1_000_003, 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 SYMBOLS = re.compile(r"[#*$%&|<>]")
-# Hashed words a task remembers.
-REMEMBERED = 1_000_000
+# Hashed words a worker remembers.
+REMEMBERED = 150_000
 
 
 def word_hash(word: bytes) -> int:
@@ -112,8 +113,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .select(F.col("doc_id").cast("long").alias("trusted_id")).distinct())
 
 
-def multinomials(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """Log of target over raw probability for each class."""
+def multinomials(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
+    """Log of target over raw probability for each class, and the noise of the target's frequencies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, buckets), np.int64)
         for batch in batches:
@@ -137,7 +138,7 @@ def multinomials(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     for bucket, raw, target in rows:
         counts[bucket] = raw, target
     smooth = (counts + 1) / (counts.sum(0) + buckets)
-    return np.log(smooth[:, 1]) - np.log(smooth[:, 0])
+    return np.log(smooth[:, 1]) - np.log(smooth[:, 0]), buckets / (counts[:, 1].sum() + buckets)
 
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -160,11 +161,12 @@ def score(docs: DataFrame, weights: np.ndarray, out: str) -> DataFrame:
 
 def apply_rules(docs: DataFrame, labels: DataFrame, out: str, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with a struct column ``out``: base counts, score, base_failed, kept."""
-    scored = score(docs, multinomials(docs, labels), out)
+    weights, noise = multinomials(docs, labels)
+    scored = score(docs, weights, out)
     c = F.col(out)
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEATED_PERCENT * c["n_words"])
     return scored.withColumn(out, c.withField("base_failed", failed)).withColumn(
-        out, F.col(out).withField("kept", ~F.col(f"{out}.base_failed") & (F.col(f"{out}.score") >= threshold)))
+        out, F.col(out).withField("kept", ~F.col(f"{out}.base_failed") & (F.col(f"{out}.score") >= threshold - noise)))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,5 +206,5 @@ select doc_id, len(ws)::bigint n_words, len(array_to_string(ws, ''))::bigint wor
   coalesce(rep.n, 0)::bigint n_repeat_words,
   len(ws) < {MIN_WORDS} or 100 * coalesce(rep.n, 0) > {MAX_REPEATED_PERCENT} * len(ws) base_failed,
   not (len(ws) < {MIN_WORDS} or 100 * coalesce(rep.n, 0) > {MAX_REPEATED_PERCENT} * len(ws))
-    and coalesce(score, 0) >= {THRESHOLD} kept
-from w left join rep using (r) left join dup using (r) left join s using (r)"""
+    and coalesce(score, 0) >= {THRESHOLD} - {BUCKETS}.0::double / tot.good kept
+from tot, w left join rep using (r) left join dup using (r) left join s using (r)"""
