@@ -35,7 +35,7 @@ from strataglean.session import cut_lineage
 
 MATCH, COVERAGE = 5, 0.8
 # Bits of the filter of the benchmark's hashes (2 MB), hashed tokens a task remembers.
-FILTER_BITS, REMEMBERED = 1 << 24, 1_000_000
+FILTER_BITS, REMEMBERED = 1 << 24, 150_000
 # Fixed value: the base of the rolling hash, modulo 2^64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SEPARATORS = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
