@@ -59,13 +59,6 @@ def add_part(df: DataFrame, hot: DataFrame | None, keys: list[str], by: str) ->
     )
 
 
-def split_groups(
-    df: DataFrame, keys: list[str], by: str, rows_per_part: int = GROUP_ROWS
-) -> DataFrame:
-    """Add ``part`` and ``parts`` to groups of more than ``rows_per_part`` rows."""
-    return add_part(df, hot_parts(df, keys, rows_per_part), keys, by)
-
-
 def spread_join(
     left: DataFrame, right: DataFrame, keys: list[str], by: str, rows_per_part: int = GROUP_ROWS
 ) -> DataFrame:
