@@ -10,9 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the ASCII white space between words.
-WORD = r"[^\x20\x09-\x0D]+"
-# The same words in the SQL that checks an operator.
+# Words between ASCII white space, in the SQL that checks an operator.
 WORDS_SQL = r"list_filter(string_split_regex({}, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
 
 

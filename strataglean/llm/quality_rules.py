@@ -177,10 +177,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "found.n_repeat_words", "found.base_failed", "found.kept")
 
 
-WORDS_SQL = r"list_filter(string_split_regex({}, '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
-
 ORACLE = rf"""with d as (select row_number() over () r, doc_id, coalesce(text, '') t from documents),
-  w as (select r, doc_id, t, {WORDS_SQL.format("t")} ws from d),
+  w as (select r, doc_id, t, {common.WORDS_SQL.format("t")} ws from d),
   p as (select r, unnest(ws) word, unnest(range(len(ws))) i from w),
   five as (select r, i, word || ' ' || lead(word, 1) over o || ' ' || lead(word, 2) over o || ' '
       || lead(word, 3) over o || ' ' || lead(word, 4) over o g from p window o as (partition by r order by i)),
@@ -188,7 +186,7 @@ ORACLE = rf"""with d as (select row_number() over () r, doc_id, coalesce(text, '
   rep as (select r, count(distinct i + k) n from twice, (select unnest(range({WINDOW})) k) where again group by r),
   li as (select r, unnest(string_split(t, chr(10))) line from d),
   dup as (select r, sum(n - 1)::bigint n from (select r, line, count(*) n from li
-      where len({WORDS_SQL.format("line")}) > 0 group by 1, 2) group by 1),
+      where len({common.WORDS_SQL.format("line")}) > 0 group by 1, 2) group by 1),
   h as (select r, i, ('0x' || substr(md5(word), 1, 8))::bigint h from (
       select r, i, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') word from p) q),
   g as (select r, h % {BUCKETS} b from h union all

@@ -16,8 +16,7 @@ space, so two neighbours compose into one such map; composition is associative,
 the chunks of a text are combined by a parallel scan, some neighbours at a time.
 
 Special tokens inside a text count as one token each and cut it. Null and empty texts have
-no tokens. Repeated rows are told apart by a number within (doc_id, text); null ids are
-kept. An empty table gives an empty result.
+no tokens. Repeated rows are told apart by a number of their own; null ids are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations

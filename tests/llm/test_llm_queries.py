@@ -10,7 +10,7 @@ import check_queries
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from strataglean.llm import bpe, common, decontaminate, line_dedup, plans, quality_classifier, simhash
+from strataglean.llm import common, decontaminate, plans, quality_classifier, simhash
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
