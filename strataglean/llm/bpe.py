@@ -100,8 +100,25 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``doc_id, ids`` for every row of ``docs`` (doc_id, text)."""
+def token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id, as many as the vocabulary has."""
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def join_bytes(ids: list[int], table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN,
+           decoded: bool = False) -> DataFrame:
+    """``doc_id, ids`` for every row of ``docs`` (doc_id, text).
+
+    With ``decoded`` also ``bytes``, what the ids decode to, by the same Python worker that puts
+    them together; :func:`decode` is for ids that lie in a table.
+    """
     split = splitter(pattern, exchanges("tiktoken"))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # bounded by the vocabulary file
     known: dict[bytes, list[int]] = {}
@@ -128,6 +145,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
         starts, n_ids = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
         starts[by_bucket], n_ids[by_bucket] = np.cumsum(sizes, dtype=np.int64) - sizes, sizes
         found, at = [], 0
+        table = token_table(shared.value) if decoded else []
         for first in range(0, len(block["doc_ids"]), 64):  # ids are more than the words they come from
             lengths = np.array(block["lengths"][first : first + 64], np.int64)
             words = codes[at : at + int(lengths.sum())]
@@ -136,25 +154,27 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
             upto = np.concatenate([[0], np.cumsum(n)])
             ids = flat[np.arange(upto[-1]) + np.repeat(starts[words] - upto[:-1], n)]
             offsets = upto[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
-            found.append(pa.RecordBatch.from_arrays(
-                [pa.array(block["doc_ids"][first : first + 64], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["doc_id", "ids"]))
+            columns = {"doc_id": pa.array(block["doc_ids"][first : first + 64], pa.int64()),
+                       "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}
+            if decoded:
+                columns["bytes"] = pa.array(
+                    [join_bytes(ids[a:b].tolist(), table) for a, b in zip(offsets, offsets[1:])], pa.binary())
+            found.append(pa.RecordBatch.from_pydict(columns))
         return pa.Table.from_batches(found)
 
     made = blocks.build(docs, split, str.encode, blocks.text_bytes(docs))
     answers = blocks.answer(made, reply, known.clear)
-    return blocks.reassemble(made, answers, finish, "doc_id long, ids array<int>")
+    return blocks.reassemble(
+        made, answers, finish, "doc_id long, ids array<int>" + (", bytes binary" if decoded else ""))
 
 
 def decoder(ranks: dict[bytes, int]) -> Callable[[Column], Column]:
     """A column function from arrays of ids to the bytes they stand for; null for null."""
-    table = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
+    table = token_table(ranks)
 
     @F.pandas_udf(BinaryType())
     def decode(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: None if x is None else b"".join(map(table.__getitem__, x.tolist())))
+        return ids.map(lambda x: None if x is None else join_bytes(x.tolist(), table))
 
     return decode
 
@@ -166,7 +186,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
 
 def digests(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    both = decode(encode(docs, ranks), ranks)
+    both = encode(docs, ranks, decoded=True)
 
     def digest(column: Column) -> Column:
         return F.sha2(column, 256)

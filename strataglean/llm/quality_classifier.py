@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from strataglean.llm import common
 from strataglean.session import cut_lineage
@@ -104,25 +104,27 @@ def _matrices(batch: pa.RecordBatch) -> list[np.ndarray]:
             for i, n in enumerate(VIEWS)]
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def _text_column(texts: pd.Series) -> pd.Series:
-    return texts.map(text_features)
+def _inputs() -> list:
+    return [F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"),
+            F.col("n_chars").cast("double")]
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def _meta_column(langs: pd.Series, sources: pd.Series, sizes: pd.Series) -> pd.Series:
-    return pd.Series([meta_features(*x) for x in zip(langs, sources, sizes)])
+def _views(texts: pd.Series, langs: pd.Series, sources: pd.Series, sizes: pd.Series) -> tuple[list, list]:
+    return list(map(text_features, texts)), [meta_features(*x) for x in zip(langs, sources, sizes)]
 
 
-def _features(docs: DataFrame) -> list:
-    return [_text_column(F.col("text").cast("string")).alias("x0"),
-            _meta_column(F.col("lang").cast("string"), F.col("source").cast("string"),
-                         F.col("n_chars").cast("double")).alias("x1")]
+BOTH = StructType([StructField(f"x{i}", ArrayType(DoubleType())) for i in range(len(VIEWS))])
+
+
+@F.pandas_udf(BOTH)
+def _features(texts: pd.Series, langs: pd.Series, sources: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("x0", "x1"), _views(texts, langs, sources, sizes))))
 
 
 def feature_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``x0, x1, y, held``: both views, the label (null: none), and whether it calibrates."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_features(docs))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _features(*_inputs()).alias("x")).select(
+        "doc_id", "x.x0", "x.x1")
     marks = (labels.filter("quality is not null and doc_id is not null")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
@@ -243,14 +245,15 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
 
 def score(docs: DataFrame, model: Model, out: str) -> DataFrame:
     """``docs`` with a struct column ``out``: text_score, meta_score, score, kept."""
+    # One function from texts to scores: a second one would be a second Python worker for each task.
     @F.pandas_udf("text_score double, meta_score double, score double")
-    def scored(x0: pd.Series, x1: pd.Series) -> pd.DataFrame:
-        views = [np.array(x.tolist(), float).reshape(-1, n) for x, n in zip((x0, x1), VIEWS)]
+    def scored(texts: pd.Series, langs: pd.Series, sources: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        views = [np.array(x, float).reshape(-1, n) for x, n in zip(_views(texts, langs, sources, sizes), VIEWS)]
         return pd.DataFrame({
             "text_score": _sigmoid(model.logits(0, views[0])), "meta_score": _sigmoid(model.logits(1, views[1])),
             "score": model.score(views)})
 
-    found = docs.withColumn(out, scored(*_features(docs)))
+    found = docs.withColumn(out, scored(*_inputs()))
     return found.withColumn(out, F.col(out).withField("kept", F.col(f"{out}.score") >= KEEP_FROM))
 
 

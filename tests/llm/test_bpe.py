@@ -66,6 +66,12 @@ def test_documents_survive_the_shuffle(spark, monkeypatch, block_bytes):
     assert got == sorted(want, key=repr)
 
 
+def test_decoding_a_table_of_ids_is_a_round_trip(spark):
+    docs = odd_documents(spark)
+    got = sorted((repr(r.doc_id), r.bytes) for r in bpe.decode(bpe.encode(docs, RANKS), RANKS).collect())
+    assert got == sorted((repr(r.doc_id), (r.text or "").encode()) for r in docs.collect())
+
+
 def test_empty_table(spark):
     assert bpe.digests(empty_documents(spark), RANKS).collect() == []
 
