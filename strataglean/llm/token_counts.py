@@ -42,7 +42,7 @@ VOCABULARY = "word_bpe_49k.json"
 # Code points of a chunk, neighbours that one step of the scan combines, tokens of a full context.
 CHUNK, FAN_IN, LIMIT = 32_768, 64, 2048
 # States and words a task remembers.
-MAX_STATES, MAX_WORDS = 100_000, 200_000
+MAX_STATES, MAX_WORDS = 200_000, 300_000
 
 
 class Tokenizer:
