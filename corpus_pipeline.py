@@ -22,7 +22,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that occur earlier; n_chars follows the text."""
-    kept = line_dedup.remove_repeated_lines(docs)
+    kept = line_dedup.remove_repeated_lines(docs, **line_dedup.WHOLE)
     return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
