@@ -8,7 +8,8 @@ context. A word that occurs nowhere else scores ALPHA once more over the number
 
 1. Tasks gather documents into blocks; a block lists each of its distinct n-grams once, with
    its count there, as a 64-bit hash. So the most frequent n-gram has one entry per block.
-2. The entries are dealt by hash into buckets; there the count table of the bucket is summed
+2. The entries are dealt into buckets, which are ranges of hashes, so that only the small
+   differences of sorted hashes travel. There the count table of the bucket is summed
    and joined to the entries again. Totals go back to their blocks.
 3. Each block joins the totals to its exploded n-grams and sums the scores per document.
 
@@ -31,7 +32,9 @@ from strataglean.llm import blocks, common
 from strataglean.llm.blocks import BLOCK, PACKET, batch_of, gather, pack, portions, unpack
 
 ORDER, ALPHA = 2, 0.4
-# Bytes of text for each bucket of n-grams, and most buckets.
+# Words of the longest n-grams of the query that goes beyond pairs.
+LONG_ORDER = 3
+# Bytes of text for each bucket of uni- and bigrams (fewer with longer ones), and most buckets.
 BUCKET_BYTES, MAX_BUCKETS = 8 << 20, 1 << 22
 # Fixed value: the base that joins the hashes of words, modulo 2^64.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -62,26 +65,32 @@ def _grams(codes: np.ndarray, hashes: np.ndarray, lengths: np.ndarray, order: in
     return gram * BASE, place >= order - 1
 
 
-def block_grams(codes: np.ndarray, hashes: np.ndarray, lengths: np.ndarray, order: int, buckets: int):
+def block_grams(codes: np.ndarray, hashes: np.ndarray, lengths: np.ndarray, order: int):
     """Per length of n-gram: for each word the number of its n-gram (or -1); and all n-grams.
 
-    The distinct n-grams of a block are numbered by (bucket, hash), so that bucket by bucket they
-    are what the packets hold.
+    The distinct n-grams of a block are numbered by hash; buckets are ranges of hashes, so bucket
+    by bucket they are what the packets hold.
     """
     whole, inside = zip(*(_grams(codes, hashes, lengths, k) for k in range(1, order + 1)))
     distinct, inverse, counts = np.unique(
         np.concatenate([g[i] for g, i in zip(whole, inside)]), return_inverse=True, return_counts=True)
-    bucket = (distinct >> np.uint64(20)) % np.uint64(buckets)
-    dealt = np.argsort(bucket, kind="stable")
-    number = np.empty(len(dealt), np.int64)
-    number[dealt] = np.arange(len(dealt))
     numbers, at = [], 0
     for i in inside:
         own = np.full(len(i), -1, np.int64)
-        own[i] = number[inverse[at : at + int(i.sum())]]
+        own[i] = inverse[at : at + int(i.sum())]
         at += int(i.sum())
         numbers.append(own)
-    return numbers, distinct[dealt], counts[dealt], bucket[dealt].astype(np.int64)
+    return numbers, distinct, counts
+
+
+def pack_sorted(hashes: np.ndarray, *more: np.ndarray) -> bytes:
+    """:func:`pack` with the differences of sorted hashes, whose upper bytes are mostly zero."""
+    return pack(np.diff(hashes, prepend=hashes[:1]), hashes[:1], *more)
+
+
+def unpack_sorted(packet: bytes, *types: type) -> list[np.ndarray]:
+    steps, first, *more = unpack(packet, np.uint64, np.uint64, *types)
+    return [np.cumsum(steps, dtype=np.uint64) + first, *more]
 
 
 def _read_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,9 +102,10 @@ def _packets(order: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, distinct, counts, bucket = block_grams(*_read_block(row), order, buckets)
+                _, distinct, counts = block_grams(*_read_block(row), order)
+                bucket = (distinct >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 starts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-                found = [(int(bucket[a]), pack(distinct[a:b], counts[a:b].astype(np.uint32)))
+                found = [(int(bucket[a]), pack_sorted(distinct[a:b], counts[a:b].astype(np.uint32)))
                          for a, b in zip(starts, starts[1:]) if b > a]
                 for first in range(0, len(found), 256):
                     part = found[first : first + 256]
@@ -106,7 +116,7 @@ def _packets(order: int, buckets: int):
 
 def _totals(bucket: pa.Table) -> pa.Table:
     """The bucket's count table, joined to the entries of each block."""
-    packets = [unpack(p, np.uint64, np.uint32) for p in bucket.column("packet").to_pylist()]
+    packets = [unpack_sorted(p, np.uint32) for p in bucket.column("packet").to_pylist()]
     everything = np.concatenate([h for h, _ in packets])
     distinct, place = np.unique(everything, return_inverse=True)
     totals = np.zeros(len(distinct), np.uint64)
@@ -149,7 +159,7 @@ RESULT = "doc_id long, n_words long, log_score double, n_backoff long, n_unseen
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
     """``doc_id, n_words, log_score, n_backoff, n_unseen`` for every row of ``docs`` (doc_id, text)."""
     total = blocks.text_bytes(docs)
-    buckets = portions(total, BUCKET_BYTES, MAX_BUCKETS)
+    buckets = portions(total * max(order, 2) // 2, BUCKET_BYTES, MAX_BUCKETS)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_blocks, BLOCK)
     table = blocks.store(rows, total)
     n_corpus = int(table.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0)
@@ -157,7 +167,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFram
     answers = packets.groupBy("bucket").applyInArrow(_totals, PACKET)
 
     def finish(block: dict, found: list[bytes]) -> pa.Table:
-        numbers, _, _, _ = block_grams(*_read_block(block), order, buckets)
+        numbers, _, _ = block_grams(*_read_block(block), order)
         totals = np.concatenate([unpack(p, np.uint64)[0] for p in found] or [np.zeros(0, np.uint64)])
         scores, at = [], 0
         for n in block["lengths"]:
@@ -169,14 +179,22 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFram
     return blocks.reassemble(table, answers, finish, RESULT)
 
 
-def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document its words, log score, mean log score, and how often it backed off."""
-    found = score(common.documents(spark, sf_dir))
+def _rounded(found: DataFrame) -> DataFrame:
     mean = F.col("log_score") / F.greatest(F.col("n_words"), F.lit(1))
     return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
                         F.round(mean, 6).alias("mean_log_score"), "n_backoff", "n_unseen")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its words, log score, mean log score, and how often it backed off."""
+    return _rounded(score(common.documents(spark, sf_dir)))
+
+
+def op10_lm_scoring_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with n-grams of up to LONG_ORDER words; the SQL of op10_lm_scoring ends at pairs."""
+    return _rounded(score(common.documents(spark, sf_dir), LONG_ORDER))
+
+
 ORACLE = rf"""with d as (select row_number() over () r, doc_id,
     {common.WORDS_SQL.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ws
     from documents),

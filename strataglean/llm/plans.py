@@ -26,6 +26,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_warc_fixity": warc.op9_warc_fixity,
     "op10_lm_scoring": lm.op10_lm_scoring,
+    "op10_lm_scoring_long": lm.op10_lm_scoring_long,
 }
 
 ORACLES: dict[str, str] = {
