@@ -60,27 +60,47 @@ def bfr_merge(spark, sf):
     return _by_dimension(clustering.bfr_merge(cut_lineage(_halves(spark, sf)), MERGE_FACTOR))
 
 
+def kmeans_clusters(spark, sf):
+    """Every point's cluster; no SQL says where the iterations end."""
+    return clustering.kmeans_labels(_points(spark, sf), K).select("id", "cluster")
+
+
 def kmeans_labels(spark, sf):
-    """Where the iterations end is no SQL; that every point has one of K labels is."""
-    labels = clustering.kmeans_labels(_points(spark, sf), K)
+    """Whether every point has one of K labels."""
+    labels = kmeans_clusters(spark, sf)
     return labels.select("id", F.col("cluster").between(0, K - 1).alias("placed"))
 
 
+def bfr_init_sets(spark, sf):
+    """Every summary of the first round with its number of points, and the retained points as one row."""
+    return clustering.bfr_init(_points(spark, sf), K)
+
+
 def bfr_init(spark, sf):
     """The first round places every sampled point: in K discard summaries, in others, or as retained."""
-    parts = clustering.bfr_init(_points(spark, sf), K)
+    parts = bfr_init_sets(spark, sf)
     return parts.agg(F.sum("n").cast("bigint").alias("n_points"), F.count_if(F.col("kind") == "ds").alias("n_discard_sets"))
 
 
+def bfr_round_counts(spark, sf):
+    """What each round holds in discard, compressed and retained sets."""
+    return clustering.bfr(_points(spark, sf), K)[0]
+
+
 def bfr_rounds(spark, sf):
     """Each round accounts for all points read so far."""
-    rounds = clustering.bfr(_points(spark, sf), K)[0]
+    rounds = bfr_round_counts(spark, sf)
     return rounds.select(F.col("round").cast("bigint").alias("round"),
                          (F.col("n_discard") + F.col("n_cs_points") + F.col("n_retained")).alias("n_points"))
 
 
+def bfr_clusters(spark, sf):
+    """Every point's cluster, -1 outside of all."""
+    return clustering.bfr(_points(spark, sf), K)[1]
+
+
 def bfr_labels(spark, sf):
-    labels = clustering.bfr(_points(spark, sf), K)[1]
+    labels = bfr_clusters(spark, sf)
     return labels.select("id", F.col("cluster").between(-1, K - 1).alias("placed"))
 
 
@@ -88,6 +108,9 @@ QUERIES = {
     "cluster_stats": cluster_stats, "mahalanobis": mahalanobis, "bfr_assign": bfr_assign,
     "bfr_merge": bfr_merge, "kmeans_labels": kmeans_labels, "bfr_init": bfr_init,
     "bfr_rounds": bfr_rounds, "bfr_labels": bfr_labels,
+    # Without SQL: what the facts above are about.
+    "kmeans_clusters": kmeans_clusters, "bfr_init_sets": bfr_init_sets,
+    "bfr_round_counts": bfr_round_counts, "bfr_clusters": bfr_clusters,
 }
 
 

@@ -120,12 +120,24 @@ def _plausible(df):
     return df.select("user_id", "item_id", F.col("prediction").between(-1, 7).alias("plausible"))
 
 
+def _predictions(df):
+    return df.select("user_id", "item_id", "prediction")
+
+
+def gbt_predictions(spark, sf):
+    return _predictions(_tree_scores(spark, sf, "all"))
+
+
+def gbt_two_column_predictions(spark, sf):
+    return _predictions(_tree_scores(spark, sf, "two"))
+
+
 def gbt_predict(spark, sf):
-    return _plausible(_tree_scores(spark, sf, "all"))
+    return _plausible(gbt_predictions(spark, sf))
 
 
 def gbt_two_columns(spark, sf):
-    return _plausible(_tree_scores(spark, sf, "two"))
+    return _plausible(gbt_two_column_predictions(spark, sf))
 
 
 def gbt_importance(spark, sf):
@@ -145,12 +157,20 @@ def _hybrid(spark, sf, kind):
     return recommend.hybrid_blend(scores, _tree_scores(spark, sf, kind), *weights)
 
 
+def hybrid_predictions(spark, sf):
+    return _predictions(_hybrid(spark, sf, "all"))
+
+
+def hybrid_two_column_predictions(spark, sf):
+    return _predictions(_hybrid(spark, sf, "two"))
+
+
 def hybrid_blend(spark, sf):
-    return _plausible(_hybrid(spark, sf, "all"))
+    return _plausible(hybrid_predictions(spark, sf))
 
 
 def hybrid_two_columns(spark, sf):
-    return _plausible(_hybrid(spark, sf, "two"))
+    return _plausible(hybrid_two_column_predictions(spark, sf))
 
 
 def _scored(spark, sf):
@@ -158,6 +178,11 @@ def _scored(spark, sf):
     return _hybrid(spark, sf, "all").join(truth, ["user_id", "item_id"])
 
 
+def hybrid_rmse(spark, sf):
+    """Targets scored and their error."""
+    return relational.rmse(_scored(spark, sf), "stars", "prediction")
+
+
 def rmse_eval(spark, sf):
     """Targets scored; whether the error is one of stars, and on training rows below that of the mean."""
     model, rows, names = _trees(spark, sf, "all")
@@ -165,12 +190,17 @@ def rmse_eval(spark, sf):
         rows.select("user_id", "item_id", "label"), ["user_id", "item_id"])
     inside = relational.rmse(fitted, "label", "prediction").withColumnsRenamed({"n": "n_train", "rmse": "trained"})
     spread = rows.agg(F.stddev_pop("label").alias("spread"))
-    outside = relational.rmse(_scored(spark, sf), "stars", "prediction")
+    outside = hybrid_rmse(spark, sf)
     return outside.crossJoin(F.broadcast(inside)).crossJoin(F.broadcast(spread)).select(  # one row each
         "n", "n_train", F.col("rmse").between(0, 5).alias("in_stars"),
         (F.col("trained") < F.col("spread")).alias("below_mean"))
 
 
+def hybrid_error_bins(spark, sf):
+    """Error bins of the scored targets and their counts."""
+    return relational.error_histogram(_scored(spark, sf), "stars", "prediction")
+
+
 def error_histogram(spark, sf):
     """The bins, and whether together they hold no more than the scored targets."""
     scored = cut_lineage(_scored(spark, sf))
@@ -209,6 +239,10 @@ QUERIES = {
     "gbt_two_columns": gbt_two_columns, "hybrid_blend": hybrid_blend, "hybrid_two_columns": hybrid_two_columns,
     "rmse_eval": rmse_eval, "error_histogram": error_histogram, "mean_blend": mean_blend, "cf_rmse": cf_rmse,
     "error_bins": error_bins,
+    # Without SQL: what the facts above are about.
+    "gbt_predictions": gbt_predictions, "gbt_two_column_predictions": gbt_two_column_predictions,
+    "hybrid_predictions": hybrid_predictions, "hybrid_two_column_predictions": hybrid_two_column_predictions,
+    "hybrid_rmse": hybrid_rmse, "hybrid_error_bins": hybrid_error_bins,
 }
 
 
