@@ -13,6 +13,7 @@ from strataglean.llm import (
     simhash,
     token_counts,
     warc,
+    whitening,
 )
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_warc_fixity": warc.op9_warc_fixity,
     "op10_lm_scoring": lm.op10_lm_scoring,
     "op10_lm_scoring_long": lm.op10_lm_scoring_long,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {
