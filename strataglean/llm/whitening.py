@@ -23,16 +23,17 @@ are ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import Matrices
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
+from pyspark.mllib.linalg import Matrices, MatrixUDT
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strataglean.llm import common
-from strataglean.session import cut_lineage
+from strataglean.session import cut_lineage, scratch_path
 
 SCALE, OFFSET, COMPONENTS = 64, 1_000_000, 16
 # Rows and columns of a block, row blocks that one task multiplies.
@@ -70,11 +71,28 @@ def numbered(rows: DataFrame) -> DataFrame:
         "at", F.col("own") - F.shiftleft(part.cast("long"), 33) + F.col("before")).drop("own", "part", "before")
 
 
-def _matrix(rows: DataFrame, column: str, n_rows: int, width: int) -> BlockMatrix:
-    """Blocks of the arrays in ``column``, at the indices ``at``."""
-    made = MLUtils.convertVectorColumnsFromML(
-        rows.select(F.col("at").alias("index"), array_to_vector(F.col(column)).alias("vector")), "vector")
-    return IndexedRowMatrix(made, n_rows, width).toBlockMatrix(ROWS, COLUMNS)
+def _matrix(rows: DataFrame, number: str, column: str, n_rows: int, width: int) -> BlockMatrix:
+    """Blocks of the arrays in ``column``, at the row indices ``number``.
+
+    A block is gathered as one row of a table in the shared folder, in the form in which Spark stores
+    matrices, and read from there as a matrix: :meth:`IndexedRowMatrix.toBlockMatrix` would
+    send an object for every single entry.
+    """
+    spark, parts = rows.sparkSession, [(j, at) for j, at in enumerate(range(0, width, COLUMNS))]
+    pieces = rows.select(F.col(number).alias("at"), F.posexplode(F.array(*[
+        F.slice(column, at + 1, COLUMNS) for _, at in parts])).alias("j", "v"))
+    gathered = pieces.groupBy(F.floor(F.col("at") / ROWS).alias("i"), F.col("j").cast("long").alias("j")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda r: r["v"]).alias("v"))
+    no_index = F.lit(None).cast("array<int>")
+    path = scratch_path(spark, "matrix")
+    gathered.select(
+        F.struct(F.col("i").alias("_1"), F.col("j").alias("_2")).alias("_1"),
+        F.struct(F.lit(1).cast("byte").alias("type"), F.size("v").alias("numRows"), F.size(F.get("v", F.lit(0))).alias("numCols"),
+                 no_index.alias("colPtrs"), no_index.alias("rowIndices"), F.flatten("v").alias("values"),
+                 F.lit(True).alias("isTransposed")).alias("_2")).write.parquet(path)
+    place = StructType([StructField("_1", LongType()), StructField("_2", LongType())])
+    blocks = spark.read.schema(StructType([StructField("_1", place), StructField("_2", MatrixUDT())])).parquet(path)
+    return BlockMatrix(callMLlibFunc("createBlockMatrix", blocks, ROWS, COLUMNS, n_rows, width), ROWS, COLUMNS)
 
 
 def _scatter(matrix: BlockMatrix) -> np.ndarray:
@@ -119,9 +137,9 @@ def whitening_matrix(covariance: np.ndarray, components: int = COMPONENTS) -> tu
 def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE, offset: int = OFFSET) -> DataFrame:
     """One row per valid row of ``vectors`` (vec_id, embedding) and component, see RESULT."""
     spark = vectors.sparkSession
-    rows = numbered(integer_vectors(vectors, scale, offset))
+    rows = cut_lineage(numbered(integer_vectors(vectors, scale, offset)))
     # Equal vectors meet after one of them per task is left; the first row stands for them.
-    fit = cut_lineage(rows.groupBy("x").agg(F.min("at").alias("at")))
+    fit = cut_lineage(numbered(rows.groupBy("x").agg(F.min("at").alias("first"))))
     shape = fit.agg(F.count(F.lit(1)), F.min(F.size("x")), F.max(F.size("x"))).first()
     n, shortest, width = shape
     if not n or not width:
@@ -137,14 +155,14 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
     def centred(table: DataFrame) -> DataFrame:
         return table.select("at", F.transform(deviations("x"), lambda d: d / F.lit(float(n))).alias("c"))
 
-    # Both matrices use the numbers of all rows; a number that the fit list lacks is a row of zeros.
-    n_rows = rows.agg(F.max("at")).first()[0] + 1
-    covariance = _scatter(_matrix(centred(fit), "c", n_rows, width)) / n
+    covariance = _scatter(_matrix(centred(fit), "at", "c", n, width)) / n
     matrix, values = whitening_matrix(covariance, components)
     if not len(values):
         return spark.createDataFrame([], RESULT)
-    whitened = cut_lineage(_projected(_matrix(centred(rows), "c", n_rows, width), matrix))
-    checked = _scatter(_matrix(whitened.join(fit.select("at"), "at"), "w", n_rows, len(values))) / n
+    n_rows = rows.agg(F.max("at")).first()[0] + 1
+    whitened = cut_lineage(_projected(_matrix(centred(rows), "at", "c", n_rows, width), matrix))
+    fitted = fit.select("first", "at").join(whitened.withColumnRenamed("at", "first"), "first")
+    checked = _scatter(_matrix(fitted, "at", "w", n, len(values))) / n
     error = float(np.abs(checked - np.eye(len(values))).max())
     explained = F.array(*[F.lit(float(v)) for v in values / np.trace(covariance)])
 
