@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from strataglean.llm import (
+    alignment,
     bpe,
     decontaminate,
     line_dedup,
     lm,
+    minhash,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -29,6 +31,8 @@ QUERIES = {
     "op10_lm_scoring": lm.op10_lm_scoring,
     "op10_lm_scoring_long": lm.op10_lm_scoring_long,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_minhash_near_dedup": minhash.op12_minhash_near_dedup,
+    "op13_cross_tokenizer_alignment": alignment.op13_cross_tokenizer_alignment,
 }
 
 ORACLES: dict[str, str] = {
