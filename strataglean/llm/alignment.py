@@ -12,9 +12,11 @@ Every two tokens whose bytes overlap are a link. How often two ids are linked in
 counted in Spark: a block sends each distinct pair of ids once with its count, so that the most
 frequent pair has no more rows than there are blocks; the sums come back to the blocks likewise.
 
+Both tokenizers begin a token at a space between two other characters, whatever comes before. Texts are split
+there, and a worker encodes each distinct word once while it remembers it.
+
 Texts that are null or empty, or whose tokens' bytes are not those of the text after a space, have
-no tokens: zeros and no groups. Long texts are encoded piece by piece, cut where neither
-tokenizer has a token across. Null and repeated ids and extra columns are no matter: the
+no tokens: zeros and no groups. Null and repeated ids and extra columns are no matter: the
 result has one row per input row. An empty table gives an empty result.
 """
 
@@ -22,7 +24,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import public_tokenizers
@@ -39,8 +44,10 @@ from strataglean.llm.token_counts import _byte_letters
 from strataglean.session import cut_lineage
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# Bytes of text in a block, code points that one call encodes, steps outwards before all ends are looked up.
-BLOCK_BYTES, CALL, STEPS = 4 << 20, 1 << 16, 8
+# Bytes of text in a block, steps outwards before all ends are looked up.
+BLOCK_BYTES, STEPS = 2 << 20, 8
+# Words that a worker remembers, and the length of the longest among them.
+REMEMBERED, LONG = 300_000, 100
 SPACE = "▁"
 
 BLOCK = ("block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
@@ -80,26 +87,59 @@ class Encoders:
         table = np.array([f"{sign}{i}" for sign in ",|;" for i in range(max(len(named), len(listed)) + 1)], object)
         self.shown = table.reshape(3, -1)
 
-    def pieces(self, text: str) -> list[str]:
-        """Parts of a long text, each to be encoded with a space before it."""
-        if len(text) <= CALL or self.cut is None:
-            return [text]
-        found, start = [], 0
-        for m in self.cut.finditer(text):
-            if m.start() - start >= CALL:
-                found.append(text[start : m.start()])
-                start = m.end()
-        return [*found, text[start:]]
-
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of both; none if the tokens do not spell the text."""
-        a: list[int] = []
-        b: list[int] = []
-        for piece in self.pieces(text):
-            a += self.a.encode(" " + piece, add_special_tokens=False).ids
-            b += self.b.encode(piece)
-        spelled = b" " + text.encode()
-        return (a, b) if self.own_a.joined(a) == spelled == self.own_b.joined(b) else ([], [])
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def words(self, text: str) -> list[str]:
+        """Parts of a text, each to be encoded with a space before it."""
+        return self.cut.split(text) if self.cut else [text]
+
+    def encode(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both, as 32-bit integers, for each of some distinct words; null where the tokens do not spell the word."""
+        new = [w for w in words if w not in self.known]
+        both = zip(self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False), self.b.encode(new, num_threads=1))
+        for word, (a, b) in zip(new, both):
+            spelled = b" " + word.encode()
+            right = self.own_a.joined(a.ids) == spelled == self.own_b.joined(b)
+            self.known[word] = (array("I", a.ids).tobytes(), array("I", b).tobytes()) if right else None
+        found = [self.known[w] for w in words]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        for word in new:
+            if len(word) > LONG:
+                self.known.pop(word, None)
+        return found
+
+
+def _gathered(lists: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of 32-bit integers that the codes name, one after the other, and their sizes."""
+    sizes = np.array([len(x) // 4 for x in lists], np.int64)
+    flat = np.frombuffer(b"".join(lists), np.uint32).astype(np.int64)
+    starts, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+    upto = np.cumsum(n)
+    return flat[np.arange(int(n.sum())) + np.repeat(starts - upto + n, n)], n
+
+
+def encoded(encoders: Encoders, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of A and of B of all texts, and how many of either each text has."""
+    number: dict[str, int] = defaultdict(count().__next__)
+    each = []
+    for text in texts:
+        words = encoders.words(text) if text else []
+        each.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+    found = encoders.encode(list(number))
+    n_words = np.array([len(c) for c in each], np.int64)
+    codes = np.concatenate([*each, np.zeros(0, np.int64)])
+    text_of = np.repeat(np.arange(len(texts)), n_words)
+    wrong = np.array([ids is None for ids in found], bool)
+    spoilt = np.zeros(len(texts), bool)
+    spoilt[text_of[wrong[codes]]] = True
+    stays = ~spoilt[text_of]
+    codes, text_of = codes[stays], text_of[stays]
+    result = []
+    for side in (0, 1):
+        ids, sizes = _gathered([x[side] if x else b"" for x in found], codes)
+        result += [ids, np.bincount(text_of, sizes, len(texts)).astype(np.int64)]
+    return tuple(result)
 
 
 def _found(sorted_ends: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -157,7 +197,8 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
     Between two neighbouring ends of either lies one token of each.
     """
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two sorted runs are merged
+    ends = ends[np.append(ends[1:] != ends[:-1], True)]
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
@@ -173,14 +214,16 @@ def show(shown: np.ndarray, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, g
     return "".join(shown[sign[order], np.concatenate([a, b])[order]].tolist())[1:]
 
 
+def _numbered(lasts: np.ndarray, size: int) -> np.ndarray:
+    """The number of each token's group, by the groups' last tokens."""
+    begins = np.zeros(size, np.int64)
+    begins[lasts[:-1] + 1] = 1
+    return np.cumsum(begins)
+
+
 def _block(encoders: Encoders, number: int, rows: list[tuple[int | None, str | None]]) -> pa.RecordBatch:
     """Groups and links of a block's documents."""
-    encoded = [encoders.encode(text) if text else ([], []) for _, text in rows]
-    n_a = np.array([len(a) for a, _ in encoded], np.int64)
-    n_b = np.array([len(b) for _, b in encoded], np.int64)
-    a = np.fromiter((i for x, _ in encoded for i in x), np.int64, n_a.sum())
-    b = np.fromiter((i for _, x in encoded for i in x), np.int64, n_b.sum())
-    del encoded
+    a, n_a, b, n_b = encoded(encoders, [text for _, text in rows])
     # Offsets go on from one document to the next, so each document's last ends are shared.
     ends_a, ends_b = np.cumsum(encoders.own_a.sizes[a]), np.cumsum(encoders.own_b.sizes[b])
     upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
@@ -189,8 +232,8 @@ def _block(encoders: Encoders, number: int, rows: list[tuple[int | None, str | N
         at_a, at_b = links(ends_a, ends_b)
     else:
         cuts = at_a = at_b = np.zeros(0, np.int64)
-    group_a = np.searchsorted(cuts, np.arange(len(a)))
-    group_b = np.searchsorted(ends_a[cuts], ends_b)
+    group_a = _numbered(cuts, len(a))
+    group_b = _numbered(np.searchsorted(ends_b, ends_a[cuts]), len(b))
     found = []
     for size_a, size_b, to_a, to_b in zip(n_a.tolist(), n_b.tolist(), upto_a.tolist(), upto_b.tolist()):
         own_a, own_b = slice(to_a - size_a, to_a), slice(to_b - size_b, to_b)

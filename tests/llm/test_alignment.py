@@ -81,19 +81,21 @@ def some_texts():
     return TEXTS + [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(60)] + ["alpha beta"] * 5 + ["", None]
 
 
-@pytest.mark.parametrize("block_bytes, call", [(500, 1 << 16), (1 << 20, 100)])
-def test_equal_to_brute_force(spark, monkeypatch, block_bytes, call):
+@pytest.mark.parametrize("block_bytes", [500, 1 << 20])
+def test_equal_to_brute_force(spark, block_bytes):
     texts = some_texts()
-    monkeypatch.setattr(alignment, "CALL", call)
-    own = alignment.Encoders(*PATHS)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r[0]: tuple(r[1:]) for r in alignment.align(docs, *PATHS, block_bytes=block_bytes).collect()}
+    assert [found[i] for i in range(len(texts))] == brute(texts)
+
+
+def test_words_that_are_forgotten(monkeypatch, encoders):
+    monkeypatch.setattr(alignment, "REMEMBERED", 3)
+    texts = some_texts()
+    a, n_a, b, n_b = alignment.encoded(encoders, texts)
     expected = brute(texts)
-    for text, row in zip(texts, expected):  # pieces of a long text
-        a, b = own.encode(text) if text else ([], [])
-        assert (len(a), len(b)) == row[:2]
-    if call > 1000:
-        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-        found = {r[0]: tuple(r[1:]) for r in alignment.align(docs, *PATHS, block_bytes=block_bytes).collect()}
-        assert [found[i] for i in range(len(texts))] == expected
+    assert list(zip(n_a.tolist(), n_b.tolist())) == [r[:2] for r in expected]
+    assert len(a) == n_a.sum() and len(b) == n_b.sum()
 
 
 def test_cuts_of_any_ends(monkeypatch):
