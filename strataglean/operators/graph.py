@@ -5,14 +5,15 @@ Undirected edges are distinct rows (src, dst) with src < dst.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataglean.session import cut_lineage
-from strataglean.skew import add_part, broadcast_checked, co_occurrence, hot_parts, running_sum
+from strataglean.skew import add_part, broadcast_checked, co_occurrence, dense_number, hot_parts, running_sum
 
 # Neighbours of one node handled by one task in a breadth-first step.
 HUB_ROWS = 4096
@@ -230,6 +231,104 @@ def edge_betweenness(
     )
 
 
+def vertex_diameter_bound(edges: DataFrame) -> int:
+    """Nodes that a shortest path of the graph has at most.
+
+    In a component no path is longer than twice the distance from one of its nodes to the farthest one.
+    """
+    starts = connected_components(edges).select(F.col("component").alias("id")).distinct()
+    levels = _bfs_levels(_spread_links(edges, _hubs(edges)), starts)
+    return 2 * (len(levels) - 1) + 1
+
+
+def sample_bound(diameter: int, eps: float, delta: float) -> int:
+    """Paths that are enough for an error of ``eps`` at every edge with probability 1 - ``delta``.
+
+    The sets of paths through an edge have a Vapnik-Chervonenkis dimension of at most
+    floor(log2(edges of the longest path)) + 1.
+    """
+    dimension = math.floor(math.log2(max(diameter - 1, 1))) + 1
+    return math.ceil(0.5 / eps**2 * (dimension + math.log(1 / delta)))
+
+
+def _uniform(*columns) -> Column:
+    """A number in (0, 1) that the columns determine."""
+    return (F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") + 0.5) / float(1 << 53)
+
+
+def _walk_back(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``src, dst, sample``: the edges of one shortest path for each of ``pairs`` (sample, root, target).
+
+    From the target on, a parent is chosen with a probability in proportion to its paths, so each of the
+    shortest paths is equally likely. Pairs without a path have no edges.
+    """
+    levels = _bfs_levels(links, pairs.select(F.col("root").alias("id")).distinct())
+    walks, steps = None, []
+    for d in range(len(levels) - 1, 0, -1):
+        here = pairs.withColumnRenamed("target", "node").join(
+            levels[d].select("root", "node", "parts"), ["root", "node"]).select("sample", "root", "node", "parts")
+        here = here if walks is None else here.unionByName(walks)
+        above = levels[d - 1].select("root", F.col("node").alias("dst"), F.col("paths").alias("above"))
+        race = -F.log(_uniform("sample", "dst", F.lit(d))) / F.col("above")
+        chosen = cut_lineage(
+            _expand(here, links).join(above, ["root", "dst"]).groupBy("sample", "root", "node")
+            .agg(F.min(F.struct(race.alias("race"), "dst", "dst_parts")).alias("parent"))
+            .select("sample", "root", "node", "parent.dst", "parent.dst_parts"))
+        walks = chosen.select("sample", "root", F.col("dst").alias("node"), F.col("dst_parts").alias("parts"))
+        steps.append(chosen.select(F.least("node", "dst").alias("src"), F.greatest("node", "dst").alias("dst"), "sample"))
+    none = links.select("src", "dst", F.lit(0).cast("bigint").alias("sample")).limit(0)
+    return reduce(DataFrame.unionByName, steps, none)
+
+
+def sampled_betweenness(
+    edges: DataFrame, eps: float = 0.05, delta: float = 0.1, seed: int = 42, first: int = 256
+) -> DataFrame:
+    """``src, dst, betweenness, error, samples``: estimates from shortest paths of random pairs of nodes.
+
+    With probability 1 - ``delta`` every edge's estimate is within ``error`` = ``eps`` * n (n - 1) / 2
+    of :func:`edge_betweenness`; edges on no sampled path are left out, as their estimate is 0. The sample
+    doubles from ``first`` paths on. It is enough as soon as the empirical Bernstein bound, taken for all
+    edges and rounds at once, is below ``eps``, and at the latest at the size that follows from the
+    vertex diameter (:func:`sample_bound`); either rule gets half of ``delta``. ``seed`` fixes the
+    pairs and paths. State is one row per (pair's root, node), in batches of about STATE_ROWS rows.
+    """
+    nodes = cut_lineage(dense_number(vertices(edges), ["id"], "number", 0))
+    n, m = nodes.count(), edges.count()
+    if n < 2:
+        return edges.select("src", "dst", *[F.lit(0.0).alias(c) for c in ("betweenness", "error")],
+                            F.lit(0).cast("bigint").alias("samples")).limit(0)
+    most = sample_bound(vertex_diameter_bound(edges), eps, delta / 2)
+    rounds = 1 + max(0, math.ceil(math.log2(most / first)))
+    links, batch = _spread_links(edges, _hubs(edges)), max(1, STATE_ROWS // n)
+    counts, done = None, 0
+    for r in range(rounds):
+        size = min(most, first << r)
+        parts = []
+        for start in range(done, size, batch):
+            drawn = edges.sparkSession.range(start, min(size, start + batch)).withColumnRenamed("id", "sample")
+            own = F.pmod(F.xxhash64("sample", F.lit(seed), F.lit("root")), F.lit(n))
+            other = F.pmod(F.xxhash64("sample", F.lit(seed), F.lit("target")), F.lit(n - 1))
+            numbers = drawn.select("sample", own.alias("a"), other.alias("b")).withColumn(
+                "b", F.when(F.col("b") >= F.col("a"), F.col("b") + 1).otherwise(F.col("b")))
+            pairs = cut_lineage(
+                numbers.join(nodes.select(F.col("number").alias("a"), F.col("id").alias("root")), "a")
+                .join(nodes.select(F.col("number").alias("b"), F.col("id").alias("target")), "b")
+                .select((F.col("sample") + F.lit(seed << 32)).alias("sample"), "root", "target"))
+            parts.append(cut_lineage(_walk_back(links, pairs).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))))
+        every = reduce(DataFrame.unionByName, parts, *([counts] if counts is not None else []))
+        counts = cut_lineage(every.groupBy("src", "dst").agg(F.sum("n").alias("n")))
+        done = size
+        share = F.col("n") / F.lit(float(size))
+        spread = counts.agg(F.max(share * (1 - share))).first()[0] or 0.0
+        log = math.log(3 * max(m, 1) * rounds / (delta / 2))
+        if math.sqrt(2 * spread * log / size) + 3 * log / size <= eps:
+            break
+    pairs_of_nodes = n * (n - 1) / 2
+    return counts.select(
+        "src", "dst", (F.col("n") / F.lit(float(done)) * pairs_of_nodes).alias("betweenness"),
+        F.lit(eps * pairs_of_nodes).alias("error"), F.lit(done).cast("bigint").alias("samples"))
+
+
 def top_edge(betweenness: DataFrame, digits: int = 5) -> DataFrame:
     """The edge of highest rounded betweenness, ties to the smallest (src, dst)."""
     return (
