@@ -24,6 +24,8 @@ from strataglean.skew import co_occurrence, hot_groups, pairs_in_small_groups, p
 HEAVY_BASKET_ITEMS = 500
 # Rows of a chunk that one task holds in memory.
 CHUNK_ROWS = 200_000
+# Least share of the support, in baskets, at which a chunk is mined by itself.
+LOCAL_FLOOR = 8
 
 
 def _itemset():
@@ -251,7 +253,9 @@ def local_itemsets(baskets: pd.Series, items: pd.Series, support: int, max_k: in
     return found
 
 
-def son(baskets: DataFrame, support: int, chunks: int = 8, max_k: int | None = None) -> DataFrame:
+def son(
+    baskets: DataFrame, support: int, chunks: int = 8, max_k: int | None = None, floor: int = LOCAL_FLOOR
+) -> DataFrame:
     """``k, itemset, support``: the same result by two passes over chunks of baskets.
 
     Pass 1 finds the sets frequent inside any chunk at proportional support, each chunk
@@ -259,6 +263,11 @@ def son(baskets: DataFrame, support: int, chunks: int = 8, max_k: int | None = N
     has at most about CHUNK_ROWS rows, so there may be more of them than asked for. Pass 2
     counts these candidates over all baskets. Heavy baskets take part in pass 2 only, and
     pass 1 asks for correspondingly less.
+
+    At a small share nearly every subset of a basket would be frequent in its chunk, and mining
+    would list them all. Where a chunk's share is below ``floor`` baskets no chunk is mined: pass 2
+    then counts on each level the whole negative border of the level before, that is every set that
+    occurs and whose subsets are frequent, and goes on only where one of them is (:func:`apriori`).
     """
     baskets = _text_items(baskets)
     pruned = cut_lineage(
@@ -267,8 +276,12 @@ def son(baskets: DataFrame, support: int, chunks: int = 8, max_k: int | None = N
     light, heavy, n_heavy, small = _split_heavy(pruned, support)
     need = max(support - n_heavy, 1)
     rows, total = light.count(), light.select("basket").distinct().count()
-    parted = light.withColumn("chunk", F.pmod(
-        F.xxhash64("basket"), F.lit(max(chunks, -(-rows // CHUNK_ROWS)))).cast("int"))
+    n_chunks = max(chunks, -(-rows // CHUNK_ROWS))
+    parted = light.withColumn("chunk", F.pmod(F.xxhash64("basket"), F.lit(n_chunks)).cast("int"))
+
+    least = parted.groupBy("chunk").agg(F.countDistinct("basket").alias("n")).agg(F.min("n")).first()[0] or 0
+    if need * least / max(total, 1) <= floor - 1:
+        return apriori(baskets, support, max_k)
 
     def local(frame: pd.DataFrame) -> pd.DataFrame:
         share = need * frame["basket"].nunique() / max(total, 1)

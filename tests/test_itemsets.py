@@ -95,3 +95,22 @@ def test_subsets_with_unknown_and_single_items(spark):
     wanted = spark.createDataFrame([(["a"],), (["a", "b"],), (["a", "b", "c"],), (["a", "z"],)], "itemset array<string>")
     got = {",".join(r["itemset"]): r["support"] for r in itemsets.subset_support(wanted, _frame(spark, SMALL)).collect()}
     assert got == {"a": 4, "a,b": 3, "a,b,c": 1}
+
+
+def test_son_ends_at_a_small_share(spark, rows):
+    """One basket of twenty items has a million subsets; none of them is in a second basket."""
+    wide = [(0, f"i{n:02d}") for n in range(20)]
+    others = [(b, f"i{n:02d}") for b in range(1, 24) for n in ((b % 20), (b + 1) % 20)]
+    baskets = spark.createDataFrame(wide + others, "basket int, item string")
+    found = itemsets.son(baskets, 2, chunks=8)
+    assert rows(found.selectExpr("k", "array_join(itemset, ',') i", "support")) == rows(
+        itemsets.apriori(baskets, 2).selectExpr("k", "array_join(itemset, ',') i", "support"))
+
+
+def test_son_mines_chunks_whatever_the_floor(spark, rows):
+    baskets = spark.createDataFrame(
+        [(b, f"i{n}") for b in range(60) for n in range(6) if (b * 7 + n * 3) % 5 < 3], "basket int, item string")
+    plain = rows(itemsets.apriori(baskets, 12).selectExpr("k", "array_join(itemset, ',') i", "support"))
+    for floor in (1, 3, 100):
+        found = itemsets.son(baskets, 12, chunks=3, floor=floor)
+        assert rows(found.selectExpr("k", "array_join(itemset, ',') i", "support")) == plain
