@@ -184,11 +184,10 @@ def contaminated(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE)
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    own = common.fresh("own_print", docs.columns)
-    found = contaminated(docs, items).select(
-        F.col("doc_id").alias("_bad_id"), F.col("print").alias("_bad_print")).distinct()
+    own, bad_id, bad_print = (common.fresh(c, docs.columns) for c in ("own_print", "bad_id", "bad_print"))
+    found = contaminated(docs, items).select(F.col("doc_id").alias(bad_id), F.col("print").alias(bad_print)).distinct()
     return docs.withColumn(own, F.xxhash64(common.whole_text())).join(
-        found, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_id")) & (F.col(own) == F.col("_bad_print")),
+        found, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)) & (F.col(own) == F.col(bad_print)),
         "left_anti").drop(own)
 
 

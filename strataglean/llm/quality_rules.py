@@ -4,18 +4,19 @@ Words are maximal runs without ASCII white space. The base rules count character
 words, symbols, repeated lines and words in repeated five-word windows.
 
 The method: words and pairs of words, A-Z lower-cased, are hashed to BUCKETS classes. Two
-multinomials over the classes, with one added to each count, are estimated: from all
-documents (raw corpus), and from all documents that ``labels`` calls good and not
-toxic (trusted target). A document's score is the mean over its n-grams of
-log p(target) - log p(raw); a document that passes the base rules is kept if its score is at
-least THRESHOLD less BUCKETS / (n-grams of the target + BUCKETS). That allowance is the noise
-of a class's frequency in the target: it matters for small targets only. The counts are summed in the tasks, so that one
+multinomials over the classes are estimated: from all documents (raw corpus), and from all documents that
+``labels`` calls good and not toxic (trusted target). The target is smoothed towards the raw corpus: an
+n-gram of a trusted document counts WEIGHT times in addition to its one place in the raw counts. So a
+target that is a small part of the corpus gives ratios near 0. A document's score is the mean over its
+n-grams of log p(target) - log p(raw); a document that passes the base rules is kept if its score is at
+least THRESHOLD. The ratios depend on relative frequencies alone: the same corpus several times over gets the same
+verdicts. The counts are summed in the tasks, so that one
 vector of BUCKETS numbers per task is shuffled and one reaches the driver.
 
 A null text has no words. A document without n-grams has score 0. Rows are told apart by
 nothing, since each is judged by itself; repeated labels of an id count once and an id
 is trusted if any of its labels says so. Null ids are never trusted. Empty tables give
-empty results; without trusted documents all scores are those of a uniform target.
+empty results; without trusted documents all scores are 0.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from strataglean.llm import common
 from strataglean.skew import broadcast_checked
 
-BUCKETS, THRESHOLD = 10_000, -0.05
+BUCKETS, WEIGHT, THRESHOLD = 10_000, 10, -0.08
 # The factor that joins two words' hashes, the window, the base rules' bounds.
 PAIR, WINDOW = 1_000_003, 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
@@ -113,8 +114,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .select(F.col("doc_id").cast("long").alias("trusted_id")).distinct())
 
 
-def multinomials(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
-    """Log of target over raw probability for each class, and the noise of the target's frequencies."""
+def multinomials(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Log of target over raw probability for each class; 0 for a class without n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, buckets), np.int64)
         for batch in batches:
@@ -136,9 +137,12 @@ def multinomials(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     )  # one row per class
     counts = np.zeros((buckets, 2))
     for bucket, raw, target in rows:
-        counts[bucket] = raw, target
-    smooth = (counts + 1) / (counts.sum(0) + buckets)
-    return np.log(smooth[:, 1]) - np.log(smooth[:, 0]), buckets / (counts[:, 1].sum() + buckets)
+        counts[bucket] = raw, raw + WEIGHT * target
+    used = counts[:, 0] > 0
+    share = counts[used] / counts.sum(0)  # quotients of whole numbers: repeating the corpus changes no bit
+    weights = np.zeros(buckets)
+    weights[used] = np.log(share[:, 1]) - np.log(share[:, 0])
+    return weights
 
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -161,12 +165,11 @@ def score(docs: DataFrame, weights: np.ndarray, out: str) -> DataFrame:
 
 def apply_rules(docs: DataFrame, labels: DataFrame, out: str, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with a struct column ``out``: base counts, score, base_failed, kept."""
-    weights, noise = multinomials(docs, labels)
-    scored = score(docs, weights, out)
+    scored = score(docs, multinomials(docs, labels), out)
     c = F.col(out)
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEATED_PERCENT * c["n_words"])
     return scored.withColumn(out, c.withField("base_failed", failed)).withColumn(
-        out, F.col(out).withField("kept", ~F.col(f"{out}.base_failed") & (F.col(f"{out}.score") >= threshold - noise)))
+        out, F.col(out).withField("kept", ~F.col(f"{out}.base_failed") & (F.col(f"{out}.score") >= threshold)))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,15 +197,13 @@ ORACLE = rf"""with d as (select row_number() over () r, doc_id, coalesce(text, '
     qualify lead(h) over (partition by r order by i) is not null),
   good as (select distinct doc_id from labels where quality = 1 and toxic = 0),
   c as (select b, count(*) n_raw, count(good.doc_id) n_good from g join d using (r) left join good using (doc_id) group by b),
-  bs as (select unnest(range({BUCKETS})) b),
-  tot as (select sum(n_raw) + {BUCKETS} raw, sum(n_good) + {BUCKETS} good from c),
-  wt as (select b, ln((coalesce(n_good, 0) + 1) / tot.good) - ln((coalesce(n_raw, 0) + 1) / tot.raw) x
-    from bs left join c using (b), tot),
+  tot as (select sum(n_raw)::double raw, sum(n_raw + {WEIGHT} * n_good)::double good from c),
+  wt as (select b, ln((n_raw + {WEIGHT} * n_good) / tot.good) - ln(n_raw / tot.raw) x from c, tot),
   s as (select r, avg(x) score from g join wt using (b) group by r)
 select doc_id, len(ws)::bigint n_words, len(array_to_string(ws, ''))::bigint word_chars,
   (len(t) - len(translate(t, '#*$%&|<>', '')))::bigint n_symbols, coalesce(dup.n, 0) n_dup_lines,
   coalesce(rep.n, 0)::bigint n_repeat_words,
   len(ws) < {MIN_WORDS} or 100 * coalesce(rep.n, 0) > {MAX_REPEATED_PERCENT} * len(ws) base_failed,
   not (len(ws) < {MIN_WORDS} or 100 * coalesce(rep.n, 0) > {MAX_REPEATED_PERCENT} * len(ws))
-    and coalesce(score, 0) >= {THRESHOLD} - {BUCKETS}.0::double / tot.good kept
-from tot, w left join rep using (r) left join dup using (r) left join s using (r)"""
+    and coalesce(score, 0) >= {THRESHOLD}::double kept
+from w left join rep using (r) left join dup using (r) left join s using (r)"""

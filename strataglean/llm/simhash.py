@@ -314,25 +314,26 @@ def keep_one(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     It is the one with the smallest doc_id, null last, then the least fingerprint;
     of rows equal in both any one.
     """
+    best_id, best_fp, twice = (common.fresh(c, docs.columns) for c in ("best_id", "best_fp", "several"))
     prints = cut_lineage(fingerprints(docs))
     best = cut_lineage(
         prints.join(components(prints, distance), "fp").groupBy("component")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("best"))
-        .select(F.col("best.doc_id").alias("_best_id"), F.col("best.fp").alias("_best_fp"))
+        .select(F.col("best.doc_id").alias(best_id), F.col("best.fp").alias(best_fp))
     )
     # Where an id names one row, the id decides; the texts need not be moved or read by their words again.
     several = cut_lineage(
         prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        .select(F.col("doc_id").alias("_several")))
+        .select(F.col("doc_id").alias(twice)))
     own_id = F.col("doc_id").cast("long")
     chosen = broadcast_checked(best, BROADCAST_IDS)
     some = not several.isEmpty()
-    single = docs.join(several, own_id.eqNullSafe(F.col("_several")), "left_anti") if some else docs
-    kept = single.join(chosen, own_id.eqNullSafe(F.col("_best_id")), "left_semi")
+    single = docs.join(several, own_id.eqNullSafe(F.col(twice)), "left_anti") if some else docs
+    kept = single.join(chosen, own_id.eqNullSafe(F.col(best_id)), "left_semi")
     if some:
         fp = common.fresh("fp", docs.columns)
-        marked = with_fingerprint(docs.join(several, own_id.eqNullSafe(F.col("_several")), "left_semi"), fp)
+        marked = with_fingerprint(docs.join(several, own_id.eqNullSafe(F.col(twice)), "left_semi"), fp)
         rest = marked.join(
-            chosen, own_id.eqNullSafe(F.col("_best_id")) & (F.col(fp) == F.col("_best_fp")), "left_semi")
+            chosen, own_id.eqNullSafe(F.col(best_id)) & (F.col(fp) == F.col(best_fp)), "left_semi")
         kept = kept.unionByName(rest.dropDuplicates(["doc_id", fp]).drop(fp))
     return kept
