@@ -4,7 +4,8 @@
 a record's file follows from a hash of its id, its offset from the order of ids in the file.
 ``parse`` takes records apart again.
 
-A replica is a table of records at offsets of files. ``audit`` compares two replicas:
+A replica is a table of records at offsets of files; its hashes are made from its own records
+(``hashed``), whichever side it is. ``audit`` compares two replicas:
 
 1. Records are hashed; a range of RANGE_BYTES of offsets is hashed from the offsets, sizes
    and hashes of the records that begin in it, in order.
@@ -32,6 +33,8 @@ FILE_BYTES, RANGE_BYTES, FAN_OUT = 16 << 20, 1 << 18, 16
 # The fields of a record that no column decides.
 VERSION, KIND, DATE, CONTENT = "WARC/1.0", "resource", "1970-01-01T00:00:00Z", "text/html; charset=utf-8"
 END = "\r\n"
+# What names a record in every replica.
+ADDRESS = ["page_id", "url", "record_id"]
 
 
 def _text(name: str) -> Column:
@@ -73,16 +76,25 @@ def parse(found: DataFrame) -> DataFrame:
     return parts.withColumn("intact", F.sha2("payload", 256) == F.col("digest"))
 
 
+def hashed(records: DataFrame) -> DataFrame:
+    """``records`` with ``n_bytes, sha256`` of each record's bytes in place of ``record``."""
+    return records.withColumn("n_bytes", F.octet_length("record").cast("long")).withColumn(
+        "sha256", F.sha2("record", 256)).drop("record")
+
+
+def _addressed(pages: DataFrame) -> DataFrame:
+    """``page_id, url, record_id, record``."""
+    return as_records(pages).select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "record_id", "record")
+
+
 def layout(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
     """``page_id, url, record_id, n_copies, file, start, n_bytes, sha256``: where each record lies.
 
     The order in a file is that of (page_id with null first, record_id).
     """
-    hashed = as_records(pages).select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "record_id",
-        F.octet_length("record").cast("long").alias("n_bytes"), F.sha2("record", 256).alias("sha256"))
     # Equal records are merged before any shuffle, however many there are.
-    distinct = cut_lineage(hashed.groupBy("page_id", "url", "record_id", "n_bytes", "sha256").agg(
+    distinct = cut_lineage(hashed(_addressed(pages)).groupBy(*ADDRESS, "n_bytes", "sha256").agg(
         F.count(F.lit(1)).alias("n_copies")))
     files = max(1, -(-int(distinct.agg(F.sum("n_bytes")).first()[0] or 0) // file_bytes))
     number = F.conv(F.substring(F.col("record_id"), 1, 8), 16, 10).cast("long") % files
@@ -172,35 +184,48 @@ def audit(first: DataFrame, second: DataFrame, range_bytes: int = RANGE_BYTES, f
 EVERY = 97
 
 
-def damaged_replica(pages: DataFrame, laid_out: DataFrame) -> DataFrame:
-    """A replica of ``laid_out`` as read back from ``pages`` that were damaged in a known way."""
+def damaged_copy(pages: DataFrame) -> DataFrame:
+    """``page_id, url, record_id, appended, record``: a second archive of ``pages``, damaged in a known way.
+
+    ``record_id`` is that of the record in the first archive, ``record`` what the copy holds in its place, or
+    after the end of its file if ``appended``.
+    """
     case = F.pmod(F.col("page_id").cast("long"), F.lit(EVERY))
     html = _text("html")
-    hurt = (
-        pages.filter(case.isin(0, 2)).dropDuplicates(["page_id", "url", "html"])
-        .select(F.col("page_id").cast("long").alias("page_id"), "url", "html", case.alias("case"))
-    )
-    ids = as_records(hurt).select("page_id", "url", "html", "case", F.col("record_id").alias("record_id_kept"))
-    changed = ids.withColumn("html", F.when(F.col("case") == 0, F.concat(F.lit("X"), F.substring(html, 2, 1 << 30)))
-                             .otherwise(F.substring(html, F.lit(1), F.floor(F.length(html) / 2).cast("int"))))
-    found = as_records(changed).select(
-        F.col("record_id_kept").alias("record_id"), F.octet_length("record").cast("long").alias("n_bytes_new"),
-        F.sha2("record", 256).alias("sha256_new"))
-    kept = laid_out.filter(~F.coalesce(case == 1, F.lit(False))).join(found, "record_id", "left").withColumn(
-        "n_bytes", F.coalesce("n_bytes_new", "n_bytes")).withColumn("sha256", F.coalesce("sha256_new", "sha256"))
-    ends = laid_out.groupBy("file").agg(F.max(F.col("start") + F.col("n_bytes")).alias("end"))
+    found = as_records(pages.select("page_id", "url", "html")).select(
+        "page_id", "url", F.col("record_id").alias("first_id"), case.alias("case"),
+        F.when(case == 0, F.concat(F.lit("X"), F.substring(html, 2, 1 << 30)))
+        .when(case == 2, F.substring(html, F.lit(1), F.floor(F.length(html) / 2).cast("int"))).otherwise(html).alias("html"),
+    ).filter(~F.coalesce(F.col("case") == 1, F.lit(False)))
+    twice = F.when(F.col("case") == 3, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return as_records(found).select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+        F.col("first_id").alias("record_id"), F.explode(twice).alias("appended"), "record")
+
+
+def replica(stored: DataFrame, laid_out: DataFrame) -> DataFrame:
+    """``page_id, file, start, n_bytes, sha256`` of every record that a copy of ``laid_out`` holds.
+
+    ``stored`` has the columns of :func:`damaged_copy`. All hashes and sizes are those of its records; only the
+    places come from the layout. Equal records at a place count once, others there are all listed.
+    """
+    # Merged before any shuffle, so no text travels.
+    held = hashed(stored).select(*ADDRESS, "appended", "n_bytes", "sha256").distinct()
+    files = laid_out.groupBy("file").agg(F.max(F.col("start") + F.col("n_bytes")).alias("end"))
+    placed = common.null_safe(held, laid_out.select(*ADDRESS, "file", "start"), ADDRESS)
     after = Window.partitionBy("file").orderBy("page_id", "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    extra = laid_out.filter(case == 3).join(ends, "file").withColumn(
+    extra = placed.filter("appended").join(files, "file").withColumn(
         "start", F.col("end") + F.coalesce(F.sum("n_bytes").over(after), F.lit(0)))
     columns = ["page_id", "file", "start", "n_bytes", "sha256"]
-    return kept.select(*columns).unionByName(extra.select(*columns))
+    return placed.filter("not appended").select(*columns).unionByName(extra.select(*columns))
 
 
 def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records in which a damaged replica of the pages' archive differs from the archive."""
     pages = common.table(spark, sf_dir, "pages")
     first = cut_lineage(layout(pages))
-    return audit(first, cut_lineage(damaged_replica(pages, first)))
+    stored = cut_lineage(damaged_copy(pages))
+    return audit(first, cut_lineage(replica(stored, first)))
 
 
 def _record_sql(html: str) -> str:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataglean.llm import warc
 
@@ -74,4 +75,32 @@ def test_empty_archives(spark):
     some = warc.layout(pages(spark, 3))
     assert {r.status for r in warc.audit(some, none).collect()} == {"missing"}
     assert warc.audit(none, some).count() == some.count()
-    assert warc.damaged_replica(spark.createDataFrame([], PAGES), none).count() == 0
+    assert warc.replica(warc.damaged_copy(spark.createDataFrame([], PAGES)), none).count() == 0
+
+
+def test_known_damage_is_found(spark):
+    table = pages(spark)
+    first = warc.layout(table, 8000)
+    rows = warc.audit(first, warc.replica(warc.damaged_copy(table), first), 500, 2).collect()
+    assert {(r.page_id, r.status) for r in rows} == {
+        (i, s) for k, s in ((0, "corrupt"), (1, "missing"), (2, "corrupt"), (3, "extra")) for i in range(k, 300, 97)}
+    ends = {r.file: r.end for r in first.groupBy("file").agg(F.max(F.expr("start + n_bytes")).alias("end")).collect()}
+    for r in rows:
+        assert (r.start >= ends[r.file]) == (r.status == "extra")
+    # The copies of page 1 are lost as one record.
+    assert sum(r.page_id == 1 for r in rows) == 1
+
+
+@pytest.mark.parametrize("page", [50, 131, None])
+def test_damage_at_any_page_is_found(spark, page):
+    table = pages(spark).filter("coalesce(page_id, 99) % 97 > 3 or page_id is null")
+    first = warc.layout(table, 8000)
+    stored = warc.damaged_copy(table)
+    assert warc.audit(first, warc.replica(stored, first), 500, 2).count() == 0
+    hit = F.col("page_id").eqNullSafe(F.lit(page))
+    changed = stored.withColumn("record", F.when(hit, F.overlay("record", F.lit("#"), F.length("record") - 5))
+                                .otherwise(F.col("record")))
+    got = warc.audit(first, warc.replica(changed, first), 500, 2).collect()
+    assert [(r.page_id, r.status) for r in got] == [(page, "corrupt")] and got[0].n_bytes == got[0].n_bytes_found
+    lost = warc.audit(first, warc.replica(stored.filter(~hit), first), 500, 2).collect()
+    assert [(r.page_id, r.status) for r in lost] == [(page, "missing")]
