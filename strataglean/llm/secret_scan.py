@@ -5,8 +5,8 @@ and non-overlapping per kind; matches that are too short are dropped afterwards,
 still use up the text they cover. A fourth pattern finds bare tokens of letters and digits.
 
 Each candidate's value is hashed and counted over the whole corpus by distinct
-repositories (source and language) and owners (source). A value that several owners
-hold is a widely copied example; a value of a single owner looks live. Live-looking bare
+repositories (source and language) and owners (source). A value that several owners hold, or one
+owner in EXAMPLE_REPOS or more repositories, is a widely copied example; another looks live. Live-looking bare
 tokens that overlap no base span are added as kind ``owned``; base spans always stay.
 
 A null text is empty and has no spans. A null source or language counts as one owner or
@@ -33,8 +33,8 @@ PATTERNS = [
     ("hex", r"[0-9a-f]{32,}", 0, 32),
     ("owned", r"[A-Za-z0-9+/_=-]{24,}", 0, 24),
 ]
-# Owners from which a value is an example and no longer a live-looking credential.
-EXAMPLE_OWNERS = 2
+# Owners, and repositories, from which a value is an example and no longer a live-looking credential.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 2, 3
 
 
 def _matches(kind: str, pattern: str, group: int) -> Column:
@@ -94,7 +94,8 @@ def ownership(found: DataFrame) -> DataFrame:
         F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
-def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> tuple[DataFrame, DataFrame]:
+def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS,
+                 example_repos: int = EXAMPLE_REPOS) -> tuple[DataFrame, DataFrame]:
     """The scanned documents, and their spans with ``n_repos, n_owners, live``.
 
     Bare tokens stay only if they are live and overlap no base span.
@@ -109,12 +110,13 @@ def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> tuple
     onwards = per_doc.orderBy("start", "rank").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     free = (F.coalesce(F.max(F.when(base, F.col("stop"))).over(upto), F.lit(0)) <= F.col("start")) & (
         F.coalesce(F.min(F.when(base, F.col("start"))).over(onwards), F.col("stop")) >= F.col("stop"))
-    marked = counted.withColumn("live", F.col("n_owners") < example_owners).withColumn("free", free)
+    live = (F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos)
+    marked = counted.withColumn("live", live).withColumn("free", free)
     return scanned, marked.filter(base | (F.col("live") & F.col("free"))).drop("free")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document its spans, how many of each kind, and how many look live."""
+    """Per document its spans, how many of each kind, how many look live, and how widely its values are held."""
     scanned, found = find_secrets(common.documents(spark, sf_dir))
     base = F.col("kind") != "owned"
     entry = F.struct("start", "rank", F.concat_ws(":", "kind", "start", "stop").alias("name"))
@@ -130,9 +132,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         number(F.col("kind") == "assign").alias("n_assign"), number(F.col("kind") == "access").alias("n_access"),
         number(F.col("kind") == "hex").alias("n_hex"), listed(base).alias("base"),
         listed(F.lit(True)).alias("spans"), number(base & F.col("live")).alias("n_live"),
-        number(base & ~F.col("live")).alias("n_example"), number(~base).alias("n_owned"))
+        number(base & ~F.col("live")).alias("n_example"), number(~base).alias("n_owned"),
+        F.max("n_repos").alias("max_repos"), F.max("n_owners").alias("max_owners"))
     joined = common.null_safe(scanned.select("doc_id", "print"), per_doc, ["doc_id", "print"], "left")
-    counts = ["n_assign", "n_access", "n_hex", "n_live", "n_example", "n_owned"]
+    counts = ["n_assign", "n_access", "n_hex", "n_live", "n_example", "n_owned", "max_repos", "max_owners"]
     return joined.select(
         "doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts[:3]],
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
@@ -143,9 +146,9 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _matches_sql(rank: int) -> str:
     kind, pattern, group, _ = PATTERNS[rank]
     pattern = pattern.replace("(?i)password|passwd|secret|token|api_?key", "(?i:password|passwd|secret|token|api_?key)").replace("'", "''")
-    return f"""select r, doc_id, source, {rank} rk, '{kind}' kind, unnest(range(1, len(f) + 1)) i,
+    return f"""select r, doc_id, source, lang, {rank} rk, '{kind}' kind, unnest(range(1, len(f) + 1)) i,
       unnest(list_transform(range(1, len(f) + 1), lambda i: len(b[i]))) gap, unnest(list_transform(f, lambda x: len(x))) width,
-      unnest(v) v from (select r, doc_id, source, string_split_regex(t, '{pattern}') b,
+      unnest(v) v from (select r, doc_id, source, lang, string_split_regex(t, '{pattern}') b,
         regexp_extract_all(t, '{pattern}', 0) f, regexp_extract_all(t, '{pattern}', {group}) v from d) q"""
 
 
@@ -153,18 +156,20 @@ _LONG_ENOUGH = " or ".join(
     f"(rk = {i} and len(v) >= {least}" + (" and regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]'))" if kind == "owned" else ")")
     for i, (kind, _, _, least) in enumerate(PATTERNS))
 
-ORACLE = f"""with d as (select row_number() over () r, doc_id, coalesce(text, '') t, source from documents),
+ORACLE = f"""with d as (select row_number() over () r, doc_id, coalesce(text, '') t, source, lang from documents),
   m as ({" union all ".join(_matches_sql(i) for i in range(len(PATTERNS)))}),
   e as (select *, sum(gap + width) over (partition by r, rk order by i) fin from m),
   s as (select *, fin - width ini, kind || ':' || (fin - width)::bigint || ':' || fin::bigint as name from e where {_LONG_ENOUGH}),
-  o as (select v, count(distinct coalesce(source, '')) owners from s group by 1),
-  l as (select s.*, owners < {EXAMPLE_OWNERS} live from s join o using (v)),
+  o as (select v, count(distinct row(source)) owners, count(distinct row(source, lang)) repos from s group by 1),
+  l as (select s.*, owners, repos, owners < {EXAMPLE_OWNERS} and repos < {EXAMPLE_REPOS} live from s join o using (v)),
   k as (select * from l where rk < 3 or (live and not exists (
     select 1 from l x where x.r = l.r and x.rk < 3 and x.ini < l.fin and x.fin > l.ini))),
   g as (select r, count(*) filter (where rk = 0) n_assign, count(*) filter (where rk = 1) n_access,
     count(*) filter (where rk = 2) n_hex, string_agg(name, ',' order by ini, rk) filter (where rk < 3) base,
     string_agg(name, ',' order by ini, rk) spans, count(*) filter (where rk < 3 and live) n_live,
-    count(*) filter (where rk < 3 and not live) n_example, count(*) filter (where rk = 3) n_owned from k group by r)
+    count(*) filter (where rk < 3 and not live) n_example, count(*) filter (where rk = 3) n_owned,
+    max(repos) max_repos, max(owners) max_owners from k group by r)
 select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex,
   sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans, coalesce(n_live, 0) n_live,
-  coalesce(n_example, 0) n_example, coalesce(n_owned, 0) n_owned from d left join g using (r)"""
+  coalesce(n_example, 0) n_example, coalesce(n_owned, 0) n_owned,
+  coalesce(max_repos, 0) max_repos, coalesce(max_owners, 0) max_owners from d left join g using (r)"""

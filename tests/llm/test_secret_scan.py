@@ -48,6 +48,17 @@ def test_ownership_splits_examples_from_live_ones(spark):
     assert {r.doc_id for r in rows if r.kind == "owned"} == {9}  # 5 and 8 share a value, 6 and 7 too
 
 
+def test_value_all_over_a_hot_source_is_an_example(spark):
+    bare, own = "Zm9vYmFyYmF6cXV4MTIzNDU2Nzg5MA", "cXV4MTIzNDU2Nzg5MAZm9vYmFyYmF6"
+    rows = [(i, f"see {bare} and token=samplevalue1", f"l{i % 4}", "hot") for i in range(200)]
+    rows += [(200 + i, f"see {own} and token=privatevalue1", f"l{i % 2}", "hot") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    _, found = secret_scan.find_secrets(docs)
+    counts = {(r.value, r.live, r.n_repos, r.n_owners): r["count"]
+              for r in found.groupBy("value", "live", "n_repos", "n_owners").count().collect()}
+    assert counts == {("samplevalue1", False, 4, 1): 200, ("privatevalue1", True, 2, 1): 50, (own, True, 2, 1): 50}
+
+
 def test_empty_table(spark):
     scanned, found = secret_scan.find_secrets(empty_documents(spark))
     assert scanned.count() == found.count() == 0
