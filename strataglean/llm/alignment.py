@@ -98,9 +98,9 @@ class Encoders:
         new = [w for w in words if w not in self.known]
         both = zip(self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False), self.b.encode(new, num_threads=1))
         for word, (a, b) in zip(new, both):
-            spelled = b" " + word.encode()
-            right = self.own_a.joined(a.ids) == spelled == self.own_b.joined(b)
-            self.known[word] = (array("I", a.ids).tobytes(), array("I", b).tobytes()) if right else None
+            spelled, ids = b" " + word.encode(), a.ids  # a list that is made anew each time it is asked for
+            right = self.own_a.joined(ids) == spelled == self.own_b.joined(b)
+            self.known[word] = (array("I", ids).tobytes(), array("I", b).tobytes()) if right else None
         found = [self.known[w] for w in words]
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -188,7 +188,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lasts: np.ndarray) -> np
         divided = cut >= 0
         low, high, cut = low[divided], high[divided], cut[divided]
         groups.append(cut)
-        low, high = np.concatenate([low, cut + 1]), np.concatenate([cut, high])
+        # In the order of the texts, in which bisection is fastest.
+        low, high = np.column_stack([low, cut + 1]).ravel(), np.column_stack([cut, high]).ravel()
     return np.sort(np.concatenate(groups))
 
 
