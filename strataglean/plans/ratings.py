@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataglean.functions.text import AMBIENCE, NEGATIVE_WORDS, POSITIVE_WORDS
-from strataglean.operators import recommend, relational
+from strataglean.operators import boosting, recommend, relational
 from strataglean.plans.explore import BUSINESS_SQL
 from strataglean.session import cut_lineage
 from strataglean.sources import roles
@@ -14,6 +14,8 @@ from strataglean.sources import roles
 MIN_CO_RATERS, W_CF, W_MODEL, TWO_BLEND = 7, 0.01, 0.99, (0.3, 0.7)
 TWO_COLUMNS = ["average_stars", "stars"]
 COLD_DAY = "1995-03-01"
+# Parts of each feature's range that the cuts of boosted_root_splits lie between.
+EVEN_BINS = 32
 
 
 def _targets(spark, sf, item="l_suppkey"):
@@ -149,6 +151,26 @@ def gbt_importance(spark, sf):
         "feature", (F.col("importance").between(0, 1) & (F.col("off") < 1e-6)).alias("is_share"))
 
 
+def boosted_root_splits(spark, sf):
+    """The first tree's cuts of all training rows: their gains and the rows that go left."""
+    names = recommend.FEATURES
+    rows = _matrix(spark, sf, _labelled(spark, sf, "l_partkey")).select("label", *[F.round(c, 6).alias(c) for c in names])
+    rows = cut_lineage(rows.withColumn("price_range", F.expr("nullif(price_range, -1)")))
+    table = boosting.binned(rows, "label", names, boosting.even_edges(rows, names, EVEN_BINS), 0.5)
+    sums = boosting.histogram(table, len(names), [], boosting.Tree(1), 0)
+    feature = F.get(F.array(*map(F.lit, names)), F.col("feature").cast("int"))
+    return boosting.split_gains(sums).filter(boosting.allowed()).select(
+        feature.alias("feature"), "cut", "missing_left", F.col("hl").cast("long").alias("n_left"),
+        F.round("gain", 6).alias("gain"))
+
+
+def boosted_predictions(spark, sf):
+    """Targets scored by 20 second-order trees of three levels on the user's and the item's mean."""
+    rows = cut_lineage(_two_columns(spark, sf, _labelled(spark, sf, "l_suppkey")))
+    model = boosting.fit_trees(rows, "label", TWO_COLUMNS, rounds=20, step=0.3)
+    return _predictions(boosting.predict_trees(model, _two_columns(spark, sf, _targets(spark, sf))))
+
+
 def _hybrid(spark, sf, kind):
     """Collaborative scores blended with those of the trees."""
     item, k, weights = ("l_partkey", 5, (W_CF, W_MODEL)) if kind == "all" else ("l_suppkey", MIN_CO_RATERS, TWO_BLEND)
@@ -238,11 +260,11 @@ QUERIES = {
     "feature_matrix": feature_matrix, "gbt_predict": gbt_predict, "gbt_importance": gbt_importance,
     "gbt_two_columns": gbt_two_columns, "hybrid_blend": hybrid_blend, "hybrid_two_columns": hybrid_two_columns,
     "rmse_eval": rmse_eval, "error_histogram": error_histogram, "mean_blend": mean_blend, "cf_rmse": cf_rmse,
-    "error_bins": error_bins,
+    "error_bins": error_bins, "boosted_root_splits": boosted_root_splits,
     # Without SQL: what the facts above are about.
     "gbt_predictions": gbt_predictions, "gbt_two_column_predictions": gbt_two_column_predictions,
     "hybrid_predictions": hybrid_predictions, "hybrid_two_column_predictions": hybrid_two_column_predictions,
-    "hybrid_rmse": hybrid_rmse, "hybrid_error_bins": hybrid_error_bins,
+    "boosted_predictions": boosted_predictions, "hybrid_rmse": hybrid_rmse, "hybrid_error_bins": hybrid_error_bins,
 }
 
 
@@ -306,7 +328,8 @@ def _count(words):
     return "(" + " + ".join(f"(case when contains(lower(text), '{w}') then 1 else 0 end)" for w in words) + ")"
 
 
-def _matrix_sql():
+def _matrix_sql(rows="targets", more=""):
+    """The features of ``rows``, whose alias is t, after the columns ``more`` of theirs."""
     zeros = ["outdoor_seating", "alcohol", "wifi", "is_restaurant", "is_food", *AMBIENCE]
     flags = ", ".join(f"coalesce({c}, 0)::double {c}" for c in zeros)
     return f"""with {_base("l_partkey")}, biz as ({BUSINESS_SQL}),
@@ -314,15 +337,38 @@ def _matrix_sql():
     tip as (select o_custkey user_id, item_id, sum({_count(POSITIVE_WORDS)}) pos, sum({_count(NEGATIVE_WORDS)}) neg
       from documents join orders on doc_id = o_orderkey
       join (select l_orderkey, min(l_partkey) item_id from lineitem group by 1) on l_orderkey = doc_id group by 1, 2)
-    select t.user_id, t.item_id, round(coalesce(u.a, 0), 6) average_stars, round(coalesce(i.a, 0), 6) stars,
+    select {more} t.user_id, t.item_id, round(coalesce(u.a, 0), 6) average_stars, round(coalesce(i.a, 0), 6) stars,
       round((coalesce(u.a, 0) * coalesce(i.a, 0) - m) / sd, 6) interaction, coalesce(i.n, 0)::double review_count,
       coalesce(price_range, -1)::double price_range, {flags}, coalesce(u.n, 0)::double user_review_count,
       coalesce(pos, 0)::double positive, coalesce(neg, 0)::double negative
-    from targets t left join umean u using (user_id) left join imean i using (item_id)
+    from {rows} t left join umean u using (user_id) left join imean i using (item_id)
     left join biz on business_id = t.item_id left join tip on tip.user_id = t.user_id and tip.item_id = t.item_id, st"""
 
 
+def _root_splits_sql():
+    names, values = (", ".join(f.format(c) for c in recommend.FEATURES) for f in ("'{}'", "{}"))
+    values = values.replace("price_range", "nullif(price_range, -1)")
+    return f"""with m as ({_matrix_sql("latest", "t.stars::double label,")}),
+long as (select 0.5::double - label g, unnest([{names}]) feature, unnest([{values}]) x from m),
+ends as (select feature, min(x) lo, max(x) hi from long group by 1),
+dealt as (select feature, g, case when x is null then 0
+    else 1 + len(list_filter(range(1, {EVEN_BINS}), lambda i: lo + (hi - lo) * i / {EVEN_BINS} <= x)) end cut
+  from long join ends using (feature)),
+hist as (select feature, cut, sum(g) g, count(*)::double h from dealt group by 1, 2),
+own as (select feature, sum(g) ga, sum(h) ha, sum(case when cut = 0 then g else 0 end) gm,
+    sum(case when cut = 0 then h else 0 end) hm from hist group by 1),
+upto as (select feature, cut, sum(g) over w gc, sum(h) over w hc from hist where cut > 0
+  window w as (partition by feature order by cut)),
+sides as (select feature, cut, missing_left, ga, ha, gc + case when missing_left then gm else 0 end gl,
+    hc + case when missing_left then hm else 0 end hl
+  from upto join own using (feature) cross join (values (true), (false)) d(missing_left))
+select feature, cut::bigint cut, missing_left, hl::bigint n_left, round(
+  gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1), 6) gain
+from sides where hl >= 1 and ha - hl >= 1"""
+
+
 ORACLES = {
+    "boosted_root_splits": _root_splits_sql(),
     "item_pearson": f"""with {_base("l_suppkey")}, {_PEARSON}
         select item_1, item_2, n, round(pearson, 6) pearson from pear""",
     "item_weights": f"""with {_base("l_partkey")}, {_PEARSON}, {_weights(5)}
