@@ -31,12 +31,14 @@ def local_session(cpus: int | str = "*", app: str = "strataglean") -> SparkSessi
 def shared_root(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, named by ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder of this session below the warehouse is taken: that, too,
-    is a place which the driver and all executors share.
+    Where that is unset, a local session takes a folder of its own below the warehouse. On a cluster
+    the warehouse may be a folder of the driver's machine, so there it is an error.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         root = f"{warehouse}/strataglean-{context.applicationId}"
     if not context.getCheckpointDir():
