@@ -5,7 +5,8 @@ from baskets drop repeated rows themselves.
 
 A k-itemset that occurs in a basket is a row (basket, prefix, last): the sorted
 first k-1 items and the largest one. Two rows of a basket that share their
-prefix grow into one row of the next level, so each itemset arises once.
+prefix grow into one row of the next level, so each itemset arises once. In small baskets the rows
+of a prefix are one list, (basket, prefix, lasts).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataglean.session import cut_lineage
-from strataglean.skew import co_occurrence, hot_groups, pairs_in_small_groups, pairs_within
+from strataglean.skew import co_occurrence, fits, hot_groups, pairs_within
 
 # Larger baskets are counted by looking candidates up, not by growing their subsets.
 HEAVY_BASKET_ITEMS = 500
@@ -26,6 +27,8 @@ HEAVY_BASKET_ITEMS = 500
 CHUNK_ROWS = 200_000
 # Least share of the support, in baskets, at which a chunk is mined by itself.
 LOCAL_FLOOR = 8
+# Itemsets of which every task gets a copy.
+TASK_SETS = 100_000
 
 
 def _itemset():
@@ -70,14 +73,32 @@ def frequent_pairs(baskets: DataFrame, support: int) -> DataFrame:
 def subset_support(itemsets: DataFrame, baskets: DataFrame) -> DataFrame:
     """``itemset, support``: baskets that contain every item of the given sets.
 
-    A set begins with the baskets of its rarest item; only for them the others are looked up.
-    ``baskets`` are distinct (basket, item) rows.
+    A set begins with the baskets of its rarest item; only for them the others are looked up: in the
+    basket itself where the sets are few enough for every task, so that baskets are all that is shuffled, else
+    and in baskets of more than HEAVY_BASKET_ITEMS items by a join. ``baskets`` are distinct (basket, item) rows.
     """
     items = itemsets.select("itemset").distinct().select("itemset", F.explode("itemset").alias("item"))
     counted = items.join(item_counts(baskets), "item").groupBy("itemset").agg(
         F.min_by("item", F.struct("support", "item")).alias("rare"), F.count(F.lit(1)).alias("known"))
     begun = counted.filter(F.col("known") == F.size("itemset")).select(
         "itemset", F.col("rare").alias("item"), F.array_remove("itemset", F.col("rare")).alias("others"))
+    begun = cut_lineage(begun)
+    if not fits(begun, TASK_SETS):
+        return _looked_up(begun, baskets).groupBy("itemset").agg(F.count(F.lit(1)).alias("support"))
+    heavy = hot_groups(baskets, "basket", HEAVY_BASKET_ITEMS).select("basket")
+    light, apart = baskets.filter("basket is not null"), baskets.filter("basket is null")
+    if not heavy.isEmpty():
+        light = light.join(heavy, "basket", "left_anti")
+        apart = apart.unionByName(baskets.join(heavy, "basket", "left_semi"))
+    whole = light.groupBy("basket").agg(F.collect_list("item").alias("items"))
+    met = whole.select("items", F.explode("items").alias("item")).join(F.broadcast(begun), "item")
+    found = met.filter(F.size(F.array_except("others", "items")) == 0).select("itemset")
+    found = found.unionByName(_looked_up(begun, apart).select("itemset"))
+    return found.groupBy("itemset").agg(F.count(F.lit(1)).alias("support"))
+
+
+def _looked_up(begun: DataFrame, baskets: DataFrame) -> DataFrame:
+    """``itemset, basket``: the baskets that hold a set's first ``item`` and its ``others``."""
     met = begun.join(baskets, "item")
     single = met.filter(F.size("others") == 0).select("itemset", "basket")
     several = (
@@ -86,7 +107,7 @@ def subset_support(itemsets: DataFrame, baskets: DataFrame) -> DataFrame:
         .groupBy("itemset", "basket", "left").agg(F.count(F.lit(1)).alias("hits"))
         .filter(F.col("hits") == F.col("left")).select("itemset", "basket")
     )
-    return single.unionByName(several).groupBy("itemset").agg(F.count(F.lit(1)).alias("support"))
+    return single.unionByName(several)
 
 
 def pair_candidates(items: DataFrame) -> DataFrame:
@@ -110,23 +131,38 @@ def join_candidates(frequent: DataFrame) -> DataFrame:
     )
 
 
-def _grow(rows: DataFrame, groups: list[str], small: bool) -> DataFrame:
-    """Occurrences one item longer, made inside each (basket, prefix)."""
-    emit = pairs_in_small_groups if small else pairs_within
-    return emit(rows, [*groups, "prefix"], "last").select(
-        *groups,
-        F.concat("prefix", F.array("a.last")).alias("prefix"),
-        F.col("b.last").alias("last"),
-    )
+def _single(lists: DataFrame) -> DataFrame:
+    return lists.select("basket", "prefix", F.explode("lasts").alias("last"))
+
+
+def _grow(rows: DataFrame, small: bool) -> DataFrame:
+    """Occurrences one item longer, made inside each (basket, prefix).
+
+    In small baskets they are lists, and a list of occurrences grows by itself, without a shuffle; else rows.
+    """
+    if small:
+        return rows.filter(F.size("lasts") > 1).select("basket", "prefix", "lasts", F.posexplode("lasts").alias("at", "a")).select(
+            "basket", F.concat("prefix", F.array("a")).alias("prefix"),
+            F.slice("lasts", F.col("at") + 2, F.size("lasts")).alias("lasts")).filter(F.size("lasts") > 0)
+    return pairs_within(rows, ["basket", "prefix"], "last").select(
+        "basket", F.concat("prefix", F.array("a.last")).alias("prefix"), F.col("b.last").alias("last"))
 
 
-def _keep(rows: DataFrame, itemsets: DataFrame, keys: list[str]) -> DataFrame:
+def _keep(rows: DataFrame, itemsets: DataFrame, small: bool) -> DataFrame:
+    """The occurrences of the given itemsets."""
     wanted = itemsets.select(
-        *keys,
-        F.slice("itemset", F.lit(1), F.size("itemset") - 1).alias("prefix"),
-        F.element_at("itemset", -1).alias("last"),
-    )
-    return rows.join(wanted, [*keys, "prefix", "last"], "left_semi")
+        F.slice("itemset", F.lit(1), F.size("itemset") - 1).alias("prefix"), F.element_at("itemset", -1).alias("last"))
+    if not small:
+        return rows.join(wanted, ["prefix", "last"], "left_semi").select("basket", "prefix", "last")
+    allowed = wanted.groupBy("prefix").agg(F.collect_set("last").alias("allowed"))
+    return rows.join(allowed, "prefix").select(
+        "basket", "prefix", F.array_intersect("lasts", "allowed").alias("lasts")).filter(F.size("lasts") > 0)
+
+
+def _counted(rows: DataFrame, small: bool) -> DataFrame:
+    """``itemset, support`` of the occurrences."""
+    each = _single(rows) if small else rows
+    return each.groupBy("prefix", "last").agg(F.count(F.lit(1)).alias("support")).select(_itemset(), "support")
 
 
 def _split_heavy(
@@ -158,9 +194,14 @@ def _with_heavy(counted: DataFrame, heavy: DataFrame | None) -> DataFrame:
     )
 
 
-def _first_level(rows: DataFrame, groups: list[str]) -> DataFrame:
-    return rows.select(*groups, F.expr("cast(array() as array<string>)").alias("prefix"),
-                       F.col("item").cast("string").alias("last"))
+def _first_level(rows: DataFrame, small: bool) -> DataFrame:
+    last, nothing = F.col("item").cast("string"), F.expr("cast(array() as array<string>)").alias("prefix")
+    if not small:
+        return rows.select("basket", nothing, last.alias("last"))
+    # Rows without a basket are none together: each is a list of its own, which never grows.
+    lists = rows.groupBy("basket", F.when(F.col("basket").isNull(), last).alias("own")).agg(
+        F.array_sort(F.collect_list(last)).alias("lasts"))
+    return cut_lineage(lists.select("basket", nothing, "lasts"))
 
 
 def _text_items(baskets: DataFrame) -> DataFrame:
@@ -180,20 +221,17 @@ def apriori(baskets: DataFrame, support: int, max_k: int | None = None) -> DataF
     ones = item_counts(pruned).select(F.array("item").alias("itemset"), "support")
     levels = [ones.select(F.lit(1).alias("k"), "itemset", "support")]
     light, heavy, n_heavy, small = _split_heavy(pruned, support)
-    rows, k = _first_level(light, ["basket"]), 2
+    rows, k = _first_level(light, small), 2
     while max_k is None or k <= max_k:
-        grown = _grow(rows, ["basket"], small)
-        counted = grown.groupBy("prefix", "last").agg(F.count(F.lit(1)).alias("support")).filter(
-            F.col("support") >= max(support - n_heavy, 1)
-        )
-        counted = counted.select(_itemset(), "support")
+        grown = _grow(rows, small)
+        counted = _counted(grown, small).filter(F.col("support") >= max(support - n_heavy, 1))
         if heavy is not None:
             counted = _with_heavy(cut_lineage(counted), heavy)
         frequent = cut_lineage(counted.filter(F.col("support") >= support))
         if frequent.isEmpty():
             break
         levels.append(frequent.select(F.lit(k).alias("k"), "itemset", "support"))
-        rows = _keep(grown, frequent, [])
+        rows = _keep(grown, frequent, small)
         # Deeper levels would otherwise repeat the growth of all levels before them.
         if max_k is None or k < max_k:
             rows = cut_lineage(rows)
@@ -293,13 +331,12 @@ def son(
     deepest = found.agg(F.max("k")).first()[0] or 0
     candidates = [found.filter(F.col("k") == k).select("itemset") for k in range(1, deepest + 1)]
 
-    everywhere, levels = _first_level(light, ["basket"]), []
+    everywhere, levels = _first_level(light, small), []
     for k, wanted in enumerate(candidates, start=1):
         if k > 1:
-            everywhere = _grow(everywhere, ["basket"], small)
-        everywhere = cut_lineage(_keep(everywhere, wanted, []))
-        counted = everywhere.groupBy("prefix", "last").agg(F.count(F.lit(1)).alias("support"))
-        counted = _with_heavy(counted.select(_itemset(), "support"), heavy)
+            everywhere = _grow(everywhere, small)
+        everywhere = cut_lineage(_keep(everywhere, wanted, small))
+        counted = _with_heavy(_counted(everywhere, small), heavy)
         levels.append(
             counted.filter(F.col("support") >= support).select(F.lit(k).alias("k"), "itemset", "support")
         )

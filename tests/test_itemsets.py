@@ -114,3 +114,33 @@ def test_son_mines_chunks_whatever_the_floor(spark, rows):
     for floor in (1, 3, 100):
         found = itemsets.son(baskets, 12, chunks=3, floor=floor)
         assert rows(found.selectExpr("k", "array_join(itemset, ',') i", "support")) == plain
+
+
+
+def test_small_baskets_grow_without_a_shuffle(spark):
+    """Lists of a basket's items grow in place; rows without a basket are no basket together."""
+    rows = spark.createDataFrame([*[(b, i) for b in (1, 2) for i in "abcd"], (3, "a"), (None, "a"), (None, "b")], "basket int, item string")
+    first = itemsets._first_level(rows, True)
+    grown = itemsets._grow(itemsets._grow(first, True), True)
+    assert "Exchange" not in grown._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r["itemset"]): r["support"] for r in itemsets._counted(grown, True).collect()}
+    assert got == {t: 2 for t in combinations("abcd", 3)}
+    assert {tuple(r["itemset"]): r["support"] for r in itemsets._counted(first, True).collect()} == {
+        ("a",): 4, ("b",): 3, ("c",): 2, ("d",): 2}
+    pairs = {tuple(r["itemset"]): r["support"] for r in itemsets.apriori(rows, 2, 2).filter("k = 2").collect()}
+    assert pairs == {t: 2 for t in combinations("abcd", 2)}
+
+
+def test_subset_support_joins_no_pairs_of_sets_and_items(spark, monkeypatch):
+    wanted = [("a",), ("a", "b"), ("a", "b", "c"), ("a", "z"), ("c", "d")]
+    rows = [*[(b, i) for b in range(6) for i in "abcd"[: 1 + b % 4]], (None, "a"), (None, "b"), *[(9, f"x{i}") for i in range(8)], (9, "a")]
+    baskets = spark.createDataFrame(rows, "basket int, item string")
+    sets = spark.createDataFrame([(list(w),) for w in wanted], "itemset array<string>")
+    truth = {w: sum(set(w) <= {i for b, i in rows if b == k} for k in {b for b, _ in rows} - {None}) for w in wanted}
+    truth = {w: n for w, n in truth.items() if n} | {("a",): truth["a",] + 1}
+    for heavy in (500, 5):
+        monkeypatch.setattr(itemsets, "HEAVY_BASKET_ITEMS", heavy)
+        for most in (100, 1):
+            monkeypatch.setattr(itemsets, "TASK_SETS", most)
+            found = itemsets.subset_support(sets, baskets)
+            assert {tuple(r["itemset"]): r["support"] for r in found.collect()} == truth
