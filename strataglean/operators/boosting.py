@@ -5,7 +5,8 @@ curvature 1. Every feature is cut into bins once; bin 0 holds missing values (nu
 level: the tasks add up gradients per (node, feature, bin), one group-by adds the tasks' sums, and
 windows over these few rows give the gain of every cut, with the missing values on either side.
 Rows never move: a task finds a row's node by walking the tree grown so far, and its prediction
-by the trees since the table was last written.
+by the trees since the table was last written. Rows of equal bins have the same prediction in every round: where
+the bins allow few combinations, such rows are added up once, to the sum of their gradients and their number.
 
 With sums G and H on each side and the L2 term ``l2``, a cut gains
 ``GL^2 / (HL + l2) + GR^2 / (HR + l2) - G^2 / (H + l2)``. Each side has ``min_child`` rows at least; a node whose best
@@ -18,6 +19,7 @@ the fit and kept by the prediction.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -31,6 +33,8 @@ from strataglean.session import cut_lineage
 
 # Bins have one byte; trees kept in the tasks before predictions are written again.
 MOST_BINS, WRITE_EVERY = 254, 10
+# Combinations of bins up to which rows of equal bins are added up before the first tree.
+MOST_CELLS = 1_000_000
 
 
 @dataclass
@@ -121,12 +125,21 @@ def binned(rows: DataFrame, label: str, features: Sequence[str], edges: list[lis
     return source.mapInArrow(run, "bins binary, residual double")
 
 
-def _unpacked(batch: pa.RecordBatch, width: int, trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
+def _added_up(table: DataFrame, edges: list[list[float]]) -> DataFrame:
+    """``table`` with one row per combination of bins and the number ``n`` of its rows, if there are few combinations."""
+    if math.prod(len(own) + 2 for own in edges) > MOST_CELLS:
+        return table
+    return table.groupBy("bins").agg(F.sum("residual").alias("residual"), F.count(F.lit(1)).alias("n"))
+
+
+def _unpacked(batch: pa.RecordBatch, width: int, trees: list[Tree]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, gradient sums and numbers of rows; a table without ``n`` has one row each."""
     bins = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(batch.num_rows, width)
     residual = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+    n = batch.column(2).to_numpy(zero_copy_only=False).astype(float) if batch.num_columns > 2 else np.ones(batch.num_rows)
     for tree in trees:
-        residual = residual + tree.weight[tree.nodes(bins)]
-    return bins, residual
+        residual = residual + n * tree.weight[tree.nodes(bins)]
+    return bins, residual, n
 
 
 def histogram(table: DataFrame, width: int, trees: list[Tree], tree: Tree, level: int) -> DataFrame:
@@ -136,12 +149,12 @@ def histogram(table: DataFrame, width: int, trees: list[Tree], tree: Tree, level
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, h = np.zeros((2, (first + 1) * width * size))
         for batch in batches:
-            bins, residual = _unpacked(batch, width, trees)
+            bins, residual, n = _unpacked(batch, width, trees)
             node = tree.nodes(bins) - first
-            bins, residual, node = bins[node >= 0], residual[node >= 0], node[node >= 0]
+            bins, residual, n, node = bins[node >= 0], residual[node >= 0], n[node >= 0], node[node >= 0]
             place = ((node[:, None] * width + np.arange(width)) * size + bins).ravel()
             g += np.bincount(place, np.repeat(residual, width), len(g))
-            h += np.bincount(place, minlength=len(h))
+            h += np.bincount(place, np.repeat(n, width), len(h))
         at = np.flatnonzero(h)
         columns = (first + at // (width * size), at // size % width, at % size, g[at], h[at])
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "feature", "bin", "g", "h"])
@@ -221,7 +234,7 @@ def fit_trees(
 ) -> BoostedTrees:
     """Boosted trees on ``bins`` quantile bins, or on the ``edges`` given."""
     edges = quantile_edges(rows, features, bins) if edges is None else edges
-    table, width = cut_lineage(binned(rows, label, features, edges, base)), len(features)
+    table, width = cut_lineage(_added_up(binned(rows, label, features, edges, base), edges)), len(features)
     trees: list[Tree] = []
     kept: list[Tree] = []
     for _ in range(rounds):
@@ -239,7 +252,8 @@ def _moved(table: DataFrame, width: int, trees: list[Tree]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             residual = _unpacked(batch, width, trees)[1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(residual)], ["bins", "residual"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(residual), *batch.columns[2:]], batch.schema.names)
 
     return table.mapInArrow(run, table.schema)
 

@@ -111,3 +111,20 @@ def test_edge_cases(spark):
     assert out.columns == ["a", "b", "c", "residual", "prediction"] and out.count() == 3
     with pytest.raises(ValueError):
         boosting.predict_trees(model, out)
+
+
+def test_rows_of_equal_bins_are_added_up(spark, monkeypatch):
+    """The same model from one row per combination of bins as from every row."""
+    rows = made(400)
+    data = frame(spark, rows)
+    edges = boosting.quantile_edges(data, NAMES, 6)
+    table = boosting.binned(data, "label", NAMES, edges, BASE)
+    added = boosting._added_up(table, edges)
+    kinds = {tuple(bins_of(r, edges)) for r in rows}
+    assert added.count() == len(kinds) < len(rows) and added.agg({"n": "sum"}).first()[0] == len(rows)
+    models = [boosting.fit_trees(data, "label", NAMES, 11, 2, STEP, L2, 1e-9, 4, edges=edges, base=BASE)]
+    monkeypatch.setattr(boosting, "MOST_CELLS", 0)
+    models.append(boosting.fit_trees(data, "label", NAMES, 11, 2, STEP, L2, 1e-9, 4, edges=edges, base=BASE))
+    for one, other in zip(*(m.trees for m in models), strict=True):
+        assert list(one.feature) == list(other.feature) and list(one.cut) == list(other.cut)
+        assert list(one.weight) == pytest.approx(list(other.weight), abs=1e-9)
