@@ -315,11 +315,10 @@ def feature_matrix(
     )
     zero = ["review_count", "user_review_count", "positive", "negative", "outdoor_seating",
             "alcohol", "wifi", "is_restaurant", "is_food", *AMBIENCE]
+    # The narrow rows are joined by (user, item) first, where they often lie by it already; wide rows are dealt no more.
     joined = (
-        rating_features(pairs, users, items)
+        rating_features(pairs.join(spoken, ["user_id", "item_id"], "left"), users, items.join(attributes, "item_id", "full"))
         .crossJoin(F.broadcast(stats))  # one row
-        .join(attributes, "item_id", "left")
-        .join(spoken, ["user_id", "item_id"], "left")
         .withColumn("interaction",
                     z_score(F.col("average_stars") * F.col("stars"), F.col("mean"), F.col("sd")))
         .fillna(0, zero).fillna(-1, ["price_range"])

@@ -67,8 +67,13 @@ def feature_lookup(spark, sf):
         "user_id", "item_id", F.round("average_stars", 6).alias("average_stars"), F.round("stars", 6).alias("stars"))
 
 
-def _matrix(spark, sf, pairs):
-    train = roles.train_reviews(spark, sf, "l_partkey")
+def _kept_train(spark, sf, item):
+    """The training reviews, kept: means, statistics and labels read them again."""
+    return cut_lineage(roles.train_reviews(spark, sf, item))
+
+
+def _matrix(spark, sf, pairs, train=None):
+    train = _kept_train(spark, sf, "l_partkey") if train is None else train
     return recommend.feature_matrix(
         pairs, train.select("user_id", "item_id"), train, roles.business_records(spark, sf),
         roles.tips(spark, sf))
@@ -79,8 +84,8 @@ def feature_matrix(spark, sf):
     return rows.select("user_id", "item_id", *[F.round(c, 6).alias(c) for c in recommend.FEATURES])
 
 
-def _labelled(spark, sf, item):
-    train = recommend.latest_ratings(roles.train_reviews(spark, sf, item))
+def _labelled(spark, sf, item, train=None):
+    train = recommend.latest_ratings(roles.train_reviews(spark, sf, item) if train is None else train)
     return train.select("user_id", "item_id", F.col("stars").cast("double").alias("label"))
 
 
@@ -100,7 +105,8 @@ def _trees(spark, sf, kind):
     key = spark.sparkContext.applicationId, sf, kind
     if key not in _FITTED:
         if kind == "all":
-            rows, names = _matrix(spark, sf, _labelled(spark, sf, "l_partkey")), recommend.FEATURES
+            train = _kept_train(spark, sf, "l_partkey")
+            rows, names = _matrix(spark, sf, _labelled(spark, sf, "l_partkey", train), train), recommend.FEATURES
         else:
             rows, names = _two_columns(spark, sf, _labelled(spark, sf, "l_suppkey")), TWO_COLUMNS
         rows = cut_lineage(rows)
@@ -153,8 +159,8 @@ def gbt_importance(spark, sf):
 
 def boosted_root_splits(spark, sf):
     """The first tree's cuts of all training rows: their gains and the rows that go left."""
-    names = recommend.FEATURES
-    rows = _matrix(spark, sf, _labelled(spark, sf, "l_partkey")).select("label", *[F.round(c, 6).alias(c) for c in names])
+    names, train = recommend.FEATURES, _kept_train(spark, sf, "l_partkey")
+    rows = _matrix(spark, sf, _labelled(spark, sf, "l_partkey", train), train).select("label", *[F.round(c, 6).alias(c) for c in names])
     rows = cut_lineage(rows.withColumn("price_range", F.expr("nullif(price_range, -1)")))
     table = boosting.binned(rows, "label", names, boosting.even_edges(rows, names, EVEN_BINS), 0.5)
     sums = boosting.histogram(table, len(names), [], boosting.Tree(1), 0)

@@ -113,3 +113,26 @@ def test_z_score_without_spread(spark):
     row = spark.createDataFrame([(3.0, 3.0, 0.0)], "v double, m double, s double").select(
         recommend.z_score(F.col("v"), F.col("m"), F.col("s")).alias("z")).first()
     assert row["z"] == 0.0
+
+
+def test_feature_rows_are_joined_by_pair_while_narrow(spark):
+    """The wide rows are not dealt by (user, item); items without ratings keep their attributes, records may repeat."""
+    ratings = spark.createDataFrame([(1, 10, 4), (2, 10, 2), (1, 11, 5)], "user_id long, item_id long, stars int")
+    records = spark.createDataFrame(
+        [(10, '{"RestaurantsPriceRange2": "3"}', "Food"), (12, '{"RestaurantsPriceRange2": "2"}', ""), (12, None, "Food")],
+        "business_id long, attributes string, categories string")
+    tips = spark.createDataFrame([(1, 12, "great great"), (1, None, "great")], "user_id long, item_id long, text string")
+    pairs = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (3, 13), (1, None)], "user_id long, item_id long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = recommend.feature_matrix(pairs, ratings.select("user_id", "item_id"), ratings, records, tips)
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    top = next(line for line in plan if "SortMergeJoin" in line)
+    assert "user_id" not in top
+    got = sorted(((r["user_id"], r["item_id"], r["price_range"], r["is_food"], r["stars"], r["positive"] > 0) for r in rows), key=str)
+    assert got == sorted([(1, 10, 3.0, 1.0, 3.0, False), (1, 11, -1.0, 0.0, 5.0, False), (1, 12, 2.0, 0.0, 0.0, True),
+                          (1, 12, -1.0, 1.0, 0.0, True), (3, 13, -1.0, 0.0, 0.0, False), (1, None, -1.0, 0.0, 0.0, False)], key=str)
